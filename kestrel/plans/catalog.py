@@ -175,7 +175,10 @@ def max_reading_by_station(spark, d):
 
 
 @query("format_reading", f"""
-  SELECT user_id AS station, printf('%.2f F', min({_FAHRENHEIT_SQL})) AS reading
+  SELECT user_id AS station,
+         -- Java's %.2f rounds the shortest decimal form half-up (33.125 -> 33.13)
+         printf('%.2f F', round(CAST(CAST(min({_FAHRENHEIT_SQL}) AS VARCHAR)
+                                     AS DECIMAL(38, 12)), 2)) AS reading
   FROM events WHERE event_type = '{MIN_METRIC}' GROUP BY 1""")
 def format_reading(spark, d):
     m = min_reading_by_station(spark, d)
@@ -566,11 +569,11 @@ def case_label(spark, d):
                      CAST(l_orderkey % 10 AS INTEGER), l_linenumber] AS arr
              FROM lineitem)
   SELECT l_orderkey, l_linenumber,
-         array_to_string(list_transform(arr, x -> x * x), ',') AS squared,
-         array_to_string(list_transform(arr, x -> x * x * x), ',') AS cubed,
-         array_to_string(list_transform(arr, x -> CAST(trunc(x / 2) AS BIGINT)), ',') AS halved,
+         array_to_string(list_transform(arr, lambda x: x * x), ',') AS squared,
+         array_to_string(list_transform(arr, lambda x: x * x * x), ',') AS cubed,
+         array_to_string(list_transform(arr, lambda x: CAST(trunc(x / 2) AS BIGINT)), ',') AS halved,
          CAST(list_sum(arr) AS BIGINT) AS total,
-         array_to_string(list_filter(arr, x -> x % 2 = 0), ',') AS evens,
+         array_to_string(list_filter(arr, lambda x: x % 2 = 0), ',') AS evens,
          array_to_string(list_concat(arr, list_reverse(arr)), ',') AS concatenated,
          array_to_string(list_reverse(arr), ',') AS reversed,
          array_to_string(list_sort(arr), ',') AS sorted,

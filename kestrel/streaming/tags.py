@@ -59,7 +59,8 @@ def window_tag_counts(messages: DataFrame, text: str = "text", ts: str = "ts",
         pane = us - F.pmod(us, F.lit(S * 1_000_000))
         panes = tags.groupBy(pane.alias("_p"), "tag").agg(F.count("*").alias("_c"))
         k = F.explode(F.sequence(F.lit(0), F.lit(L // S - 1))).alias("_k")
-        spread = panes.select("tag", "_c", (F.col("_p") - k * F.lit(S * 1_000_000)).alias("_s"))
+        spread = panes.select("tag", "_c", "_p", k).select(
+            "tag", "_c", (F.col("_p") - F.col("_k") * F.lit(S * 1_000_000)).alias("_s"))
         out = spread.groupBy("_s", "tag").agg(F.sum("_c").alias("cnt"))
         start = _from_micros(F.col("_s"), ntz)
         end = _from_micros(F.col("_s") + F.lit(L * 1_000_000), ntz)
