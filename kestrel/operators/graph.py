@@ -4,9 +4,9 @@ vertex table, hop distances and degrees of separation.
 Breadth-first search is a driver loop over *levels*, one Spark job per
 level: frontier ⋈ edges -> distinct neighbours -> anti-join visited. The
 frontier and visited set are DataFrames, never collected; only a row count
-reaches the driver per level. Lineage is cut every level with a reliable
-``checkpoint()`` into the session's shared checkpoint folder, so a lost
-executor recomputes at most one level. The frontier is broadcast only while
+reaches the driver per level. Every level is written once as a table in
+the session's shared checkpoint folder (``materialize``), which cuts the
+lineage, so a lost executor recomputes at most one level. The frontier is broadcast only while
 its counted size is under ``broadcast_rows``; above that both sides shuffle
 (and AQE splits a skewed hub's partition).
 """
@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.session import checkpoint_dir
+from kestrel.session import materialize
 
 BROADCAST_ROWS = 2_000_000
 
@@ -69,10 +69,8 @@ def _bfs(edges: DataFrame, root, max_hops: int | None, broadcast_rows: int,
     ``on_level(level, frontier, size)`` may return True to stop early.
     """
     spark = edges.sparkSession
-    checkpoint_dir(spark)
-    e = edges.select("src", "dst").distinct().checkpoint(eager=True)
+    e = materialize(edges.select("src", "dst").distinct(), "bfs-edges")
     frontier = spark.range(1).select(F.lit(root).cast("long").alias("id"))
-    frontier = frontier.checkpoint(eager=True)
     size, level, seen = 1, 0, [frontier]
     while True:
         if on_level is not None and on_level(level, frontier, size):
@@ -82,7 +80,7 @@ def _bfs(edges: DataFrame, root, max_hops: int | None, broadcast_rows: int,
         f = F.broadcast(frontier) if size <= broadcast_rows else frontier
         cand = e.join(f, e.src == f.id).select(F.col("dst").alias("id")).distinct()
         visited = reduce(DataFrame.unionAll, seen)
-        nxt = cand.join(visited, "id", "left_anti").checkpoint(eager=True)
+        nxt = materialize(cand.join(visited, "id", "left_anti"), f"bfs-level{level + 1}")
         size = nxt.count()
         level += 1
         frontier = nxt
@@ -133,9 +131,8 @@ def degrees_of_separation(edges: DataFrame, start, target, max_hops: int | None
     (D7b); edges of a vertex listed on several lines are all kept (D7).
     """
     spark = edges.sparkSession
-    checkpoint_dir(spark)
-    into = edges.where(F.col("dst") == F.lit(target)).groupBy("src").agg(
-        F.count("*").alias("_h")).checkpoint(eager=True)
+    into = materialize(edges.where(F.col("dst") == F.lit(target)).groupBy("src").agg(
+        F.count("*").alias("_h")), "bfs-into-target")
     found = {}
 
     def probe(level, frontier, size):
