@@ -217,7 +217,8 @@ def item_popularity(spark, d):
   LEFT JOIN part p ON p.p_partkey = c.item_id""")
 def item_popularity_named(spark, d):
     pop = item_popularity(spark, d)
-    return basic.lookup(pop, tb.item_titles(spark, d), "item_id", "title")
+    out = basic.lookup(pop, tb.item_titles(spark, d), "item_id", "title")
+    return out.select("item_id", "title", "cnt")
 
 
 @query("top_items", """
@@ -229,7 +230,8 @@ def top_items(spark, d):
     pop = item_popularity(spark, d)
     top = basic.top_k(pop, [F.desc("cnt"), F.asc("item_id")], 10)
     # the 10-row side is the bounded one: broadcast it, stream the titles
-    return basic.lookup(top, tb.item_titles(spark, d), "item_id", "title", broadcast="left")
+    out = basic.lookup(top, tb.item_titles(spark, d), "item_id", "title", broadcast="left")
+    return out.select("item_id", "title", "cnt")
 
 
 @query("user_ratings", f"""
