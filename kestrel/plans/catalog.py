@@ -203,6 +203,21 @@ def word_count(spark, d):
     return T.word_count(_t(spark, d, "documents").select("text"), "text")
 
 
+@query("word_count_java", r"""
+  WITH l AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
+  t AS (SELECT line, regexp_split_to_array(line, '\W+') AS toks FROM l),
+  j AS (SELECT CASE WHEN line = '' THEN ['']
+                    WHEN len(list_filter(toks, lambda x: x <> '')) = 0 THEN []
+                    ELSE list_filter(toks, lambda x, i: x <> '' OR i = 1) END AS toks
+        FROM t)
+  SELECT lower(w) AS word, count(*) AS cnt FROM (SELECT unnest(toks) AS w FROM j) GROUP BY 1""")
+def word_count_java(spark, d):
+    """Lines of each document, tokenised with Java's split rules (D2): a
+    leading empty token and each empty line count as the word ''."""
+    docs = _t(spark, d, "documents").select(F.explode(F.split("text", "\n")).alias("line"))
+    return T.word_count(docs, "line", empty_tokens="java")
+
+
 # --- popularity and lookups --------------------------------------------------
 
 @query("item_popularity", """
@@ -305,6 +320,57 @@ def parse_quoted_names(spark, d):
     return src.parse_quoted_names(lines)
 
 
+@query("parse_ratings", """
+  SELECT CAST(trunc(l_quantity) AS INTEGER) AS rating, count(*) AS cnt
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
+def parse_ratings(spark, d):
+    """Ratings rendered as ``user⇥item⇥rating⇥ts`` lines, parsed back, then
+    the rating histogram (the reference's first program)."""
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    r = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "o_custkey", "l_partkey", F.col("l_quantity").cast("int").alias("q"),
+        F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("ts"))
+    parsed = src.parse_ratings(src.render_delimited(r, ["o_custkey", "l_partkey", "q", "ts"], "\t"))
+    return basic.value_histogram(parsed, F.col("rating").cast("int"), "rating")
+
+
+@query("parse_readings", f"""
+  SELECT user_id AS station, max({_FAHRENHEIT_SQL}) AS temp_f
+  FROM events WHERE event_type = '{MAX_METRIC}' GROUP BY 1""")
+def parse_readings(spark, d):
+    """Events rendered as weather lines ``station,date,metric,value``,
+    parsed back; the maximum reading per station in °F."""
+    ev = _t(spark, d, "events").select(
+        "user_id", F.date_format("ts", "yyyyMMdd").alias("day"), "event_type", "value")
+    lines = src.render_delimited(ev, ["user_id", "day", "event_type", "value"], ",")
+    p = src.parse_readings(lines).where(F.col("metric") == MAX_METRIC)
+    p = p.select(F.col("station").cast("long").alias("station"),
+                 T.fahrenheit_from_tenths("value").alias("t"))
+    return basic.extreme_by_key(p, "station", "t", "max", "temp_f")
+
+
+@query("parse_customer_orders", """
+  SELECT CAST(o_custkey AS VARCHAR) AS customer_id,
+         CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+  FROM orders GROUP BY 1""")
+def parse_customer_orders(spark, d):
+    """Orders rendered as ``customer,order,amount`` lines, parsed back with
+    an exact decimal amount; total spend per customer."""
+    o = _t(spark, d, "orders")
+    lines = src.render_delimited(o, ["o_custkey", "o_orderkey", "o_totalprice"], ",")
+    s = basic.sum_by_key(src.parse_customer_orders(lines), "customer_id", "amount", "total")
+    return s.select("customer_id", F.col("total").cast("double").alias("total"))
+
+
+@query("parse_labelled_points", """
+  SELECT l_extendedprice / 1000 AS label, l_quantity AS x FROM lineitem""")
+def parse_labelled_points(spark, d):
+    li = _t(spark, d, "lineitem").select((F.col("l_extendedprice") / 1000).alias("label"),
+                                         F.col("l_quantity").alias("x"))
+    return src.parse_labelled_points(src.render_delimited(li, ["label", "x"], ","))
+
+
 def _adjacency_lines(spark, d) -> DataFrame:
     e = tb.graph_edges(spark, d, with_id=True)
     # at most 64 entries per line: a hub's list spreads over many lines
