@@ -94,20 +94,27 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, value: str,
 
     ``on_missing``: ``null`` keeps the row with NULL, ``error`` raises
     (the reference's map access, D6), ``drop`` makes it an inner join.
-    ``broadcast`` names the side whose size the *caller* has bounded
-    (``'left'`` for a top-k result, ``'right'`` for a small dimension);
-    otherwise Spark chooses by measured size (AQE converts a join to a
-    broadcast at run time only when the shuffle output is small).
+
+    ``broadcast`` names the side whose size the *caller* has bounded:
+
+    * ``'left'`` (e.g. a top-k result): the distinct keys of ``df`` are
+      broadcast into an inner join that streams ``dim`` once without
+      shuffling it, and only the matching dimension rows meet ``df``.
+      (A left outer join can only build its right side, so hinting the
+      left side of it would be ignored.)
+    * ``'right'``: a small dimension is broadcast.
+    * ``None``: Spark chooses by measured size (AQE turns a join into a
+      broadcast at run time only when the shuffle output is small).
     """
     dim_key = dim_key or key
     d = dim.select(F.col(dim_key).alias("_dk"), F.col(value).alias("_dv"))
-    left = df
     if broadcast == "left":
-        left = F.broadcast(df)
+        keys = F.broadcast(df.select(F.col(key).alias("_k")).distinct())
+        d = d.join(keys, d["_dk"] == keys["_k"]).select("_dk", "_dv")
     elif broadcast == "right":
         d = F.broadcast(d)
     how = "inner" if on_missing == "drop" else "left"
-    j = left.join(d, left[key] == d["_dk"], how)
+    j = df.join(d, df[key] == d["_dk"], how)
     v = F.col("_dv")
     if on_missing == "error":
         v = F.coalesce(v, F.raise_error(F.concat(
