@@ -71,21 +71,25 @@ def _bfs(edges: DataFrame, root, max_hops: int | None, broadcast_rows: int,
     spark = edges.sparkSession
     e = materialize(edges.select("src", "dst").distinct(), "bfs-edges")
     frontier = spark.range(1).select(F.lit(root).cast("long").alias("id"))
-    size, level, seen = 1, 0, [frontier]
+    size, level, seen, n_seen = 1, 0, [frontier], 1
     while True:
         if on_level is not None and on_level(level, frontier, size):
             break
         if size == 0 or (max_hops is not None and level >= max_hops):
             break
+        # sizes are counted, so each broadcast below is behind a checked bound
         f = F.broadcast(frontier) if size <= broadcast_rows else frontier
         cand = e.join(f, e.src == f.id).select(F.col("dst").alias("id")).distinct()
         visited = reduce(DataFrame.unionAll, seen)
+        if n_seen <= broadcast_rows:
+            visited = F.broadcast(visited)
         nxt = materialize(cand.join(visited, "id", "left_anti"), f"bfs-level{level + 1}")
         size = nxt.count()
         level += 1
         frontier = nxt
         if size:
             seen.append(nxt)
+            n_seen += size
             yield level, nxt, size
     return
 

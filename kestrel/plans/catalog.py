@@ -586,8 +586,19 @@ def top_trending_tags(spark, d):
 
 @query("stream_trending_tags", _TAGS_SQL)
 def stream_trending_tags(spark, d):
+    """The window count as a Structured Streaming query over the events file
+    (availableNow trigger), read back from its sink folder.
+
+    The stream runs in a child session whose shuffle partitions (= the
+    stateful operator's state partitions, fixed for the query's lifetime)
+    equal the cluster's default parallelism; the caller's session conf is
+    untouched.
+    """
+    ss = spark.newSession()
+    ss.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    ss.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     ev = _t(spark, d, "events")
-    stream = (spark.readStream.schema(ev.schema)
+    stream = (ss.readStream.schema(ev.schema)
               .option("pathGlobFilter", "events.parquet")
               .parquet(d))
     msgs = stream.select("ts", F.concat(F.lit("user "), F.col("user_id").cast("string"),
@@ -596,7 +607,7 @@ def stream_trending_tags(spark, d):
     q = tags.run_trending_stream(msgs, out_dir, scratch_path(spark, "trending-ckpt"),
                                  trigger={"availableNow": True})
     q.awaitTermination()
-    return tags.read_trending_table(spark, out_dir, ntz=True)
+    return tags.read_trending_table(spark, out_dir)
 
 
 # --- scalar, collection and conditional functions ------------------------------------

@@ -112,10 +112,12 @@ def run_trending_stream(stream: DataFrame, out_dir: str, checkpoint: str,
     When ``top_dir`` is set, each micro-batch also writes its top 10.
     """
     counts = stream_window_counts(stream, text, ts, length, slide, watermark)
+    typ = "timestamp_ntz" if dict(stream.dtypes)[ts] == "timestamp_ntz" else "timestamp"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(F.col("w.start").alias("window_start"),
-                            F.col("w.end").alias("window_end"), "tag",
+        # back to the input's timestamp type inside the query's own session
+        rows = batch.select(F.col("w.start").cast(typ).alias("window_start"),
+                            F.col("w.end").cast(typ).alias("window_end"), "tag",
                             F.col("cnt").cast("long").alias("cnt"),
                             F.lit(batch_id).cast("long").alias("batch_id"))
         rows.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
@@ -129,11 +131,8 @@ def run_trending_stream(stream: DataFrame, out_dir: str, checkpoint: str,
     return w.start()
 
 
-def read_trending_table(spark: SparkSession, out_dir: str, ntz: bool = True) -> DataFrame:
+def read_trending_table(spark: SparkSession, out_dir: str) -> DataFrame:
     """The current windowed counts: the latest written row per (window, tag)."""
     raw = spark.read.parquet(out_dir)
-    latest = raw.groupBy("window_start", "window_end", "tag").agg(
+    return raw.groupBy("window_start", "window_end", "tag").agg(
         F.max_by("cnt", "batch_id").alias("cnt"))
-    typ = "timestamp_ntz" if ntz else "timestamp"
-    return latest.select(F.col("window_start").cast(typ).alias("window_start"),
-                         F.col("window_end").cast(typ).alias("window_end"), "tag", "cnt")
