@@ -4,7 +4,7 @@ vertex table, hop distances and degrees of separation.
 Breadth-first search is a driver loop over *levels*, one Spark job per
 level: frontier ⋈ edges -> distinct neighbours -> anti-join visited. The
 frontier and visited set are DataFrames, never collected; only a row count
-reaches the driver per level. Every level is written once as a table in
+reaches the driver per level (observed during the level's write job). Every level is written once as a table in
 the session's shared checkpoint folder (``materialize``), which cuts the
 lineage, so a lost executor recomputes at most one level. The frontier is broadcast only while
 its counted size is under ``broadcast_rows``; above that both sides shuffle
@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.session import materialize
+from kestrel.session import materialize, materialize_counted
 
 BROADCAST_ROWS = 2_000_000
 
@@ -64,34 +64,31 @@ def most_connected(line_counts: DataFrame, names: DataFrame) -> DataFrame:
 
 def _bfs(edges: DataFrame, root, max_hops: int | None, broadcast_rows: int,
          on_level=None):
-    """Yield (level, frontier DataFrame(id), size) for level 0, 1, ...
-
-    ``on_level(level, frontier, size)`` may return True to stop early.
+    """Expand levels from ``root``; yield (level, frontier, size) after each
+    expansion, where ``frontier`` (column ``id``) holds the vertices first
+    reached at ``level``. ``on_level(level, frontier, size)`` runs before a
+    level is expanded and may return True to stop. The frontier size is
+    observed during the level's write job (no separate count).
     """
     spark = edges.sparkSession
     e = materialize(edges.select("src", "dst").distinct(), "bfs-edges")
     frontier = spark.range(1).select(F.lit(root).cast("long").alias("id"))
     size, level, seen, n_seen = 1, 0, [frontier], 1
-    while True:
+    while size and (max_hops is None or level < max_hops):
         if on_level is not None and on_level(level, frontier, size):
-            break
-        if size == 0 or (max_hops is not None and level >= max_hops):
-            break
+            return
         # sizes are counted, so each broadcast below is behind a checked bound
         f = F.broadcast(frontier) if size <= broadcast_rows else frontier
         cand = e.join(f, e.src == f.id).select(F.col("dst").alias("id")).distinct()
         visited = reduce(DataFrame.unionAll, seen)
         if n_seen <= broadcast_rows:
             visited = F.broadcast(visited)
-        nxt = materialize(cand.join(visited, "id", "left_anti"), f"bfs-level{level + 1}")
-        size = nxt.count()
+        frontier, size = materialize_counted(cand.join(visited, "id", "left_anti"),
+                                             f"bfs-level{level + 1}")
         level += 1
-        frontier = nxt
-        if size:
-            seen.append(nxt)
-            n_seen += size
-            yield level, nxt, size
-    return
+        seen.append(frontier)
+        n_seen += size
+        yield level, frontier, size
 
 
 def hop_levels(edges: DataFrame, root, max_hops: int | None = 10,
@@ -100,8 +97,9 @@ def hop_levels(edges: DataFrame, root, max_hops: int | None = 10,
     spark = edges.sparkSession
     parts = [spark.range(1).select(F.lit(root).cast("long").alias("id"),
                                    F.lit(0).alias("level"))]
-    for level, frontier, _ in _bfs(edges, root, max_hops, broadcast_rows):
-        parts.append(frontier.select("id", F.lit(level).alias("level")))
+    for level, frontier, size in _bfs(edges, root, max_hops, broadcast_rows):
+        if size:
+            parts.append(frontier.select("id", F.lit(level).alias("level")))
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -128,11 +126,13 @@ def degrees_of_separation(edges: DataFrame, start, target, max_hops: int | None
                           broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row (start, target, degree, hits).
 
-    Levels expand from ``start``; at level d the edges from the level-d
-    frontier into ``target`` are counted (``hits``, with repeats, D7c). The
-    first level with hits gives degree = d + 1. Stops with degree NULL and
-    hits 0 when the frontier empties (unreachable) or ``max_hops`` is hit
-    (D7b); edges of a vertex listed on several lines are all kept (D7).
+    Levels expand from ``start``; before the level-d frontier is expanded,
+    its edge entries into ``target`` are counted (``hits``, with repeats,
+    D7c) against the target's in-edges, pre-aggregated per source and
+    written once. The first level with hits gives degree = d + 1. Stops with
+    degree NULL and hits 0 when the frontier empties (unreachable) or
+    ``max_hops`` levels were searched (D7b); edges of a vertex listed on
+    several lines are all kept (D7).
     """
     spark = edges.sparkSession
     into = materialize(edges.where(F.col("dst") == F.lit(target)).groupBy("src").agg(
@@ -140,8 +140,6 @@ def degrees_of_separation(edges: DataFrame, start, target, max_hops: int | None
     found = {}
 
     def probe(level, frontier, size):
-        if size == 0:
-            return True
         f = F.broadcast(frontier) if size <= broadcast_rows else frontier
         hits = into.join(f, into.src == f.id).agg(F.sum("_h")).first()[0]
         if hits:

@@ -82,3 +82,16 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_counted(df, name: str):
+    """``materialize`` that also returns the row count, observed during the
+    write job itself (``Observation``), so no second job counts the rows."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(name)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
