@@ -584,10 +584,9 @@ def top_trending_tags(spark, d):
     return tags.top_tags(window_trending_tags(spark, d))
 
 
-@query("stream_trending_tags", _TAGS_SQL)
-def stream_trending_tags(spark, d):
-    """The window count as a Structured Streaming query over the events file
-    (availableNow trigger), read back from its sink folder.
+def _events_stream(spark, d, top_dir=None) -> str:
+    """Run the tag-window stream over the events file (availableNow) and
+    return its sink folder.
 
     The stream runs in a child session whose shuffle partitions (= the
     stateful operator's state partitions, fixed for the query's lifetime)
@@ -605,9 +604,29 @@ def stream_trending_tags(spark, d):
                                         F.lit(" #"), F.col("event_type")).alias("text"))
     out_dir = scratch_path(spark, "trending")
     q = tags.run_trending_stream(msgs, out_dir, scratch_path(spark, "trending-ckpt"),
-                                 trigger={"availableNow": True})
+                                 trigger={"availableNow": True}, top_dir=top_dir)
     q.awaitTermination()
-    return tags.read_trending_table(spark, out_dir)
+    return out_dir
+
+
+@query("stream_trending_tags", _TAGS_SQL)
+def stream_trending_tags(spark, d):
+    """The window count as a Structured Streaming query, read back from its sink."""
+    return tags.read_trending_table(spark, _events_stream(spark, d))
+
+
+@query("stream_top_tags", f"""
+  SELECT * FROM ({_TAGS_SQL}) ORDER BY cnt DESC, window_start DESC, tag LIMIT 10""")
+def stream_top_tags(spark, d):
+    """The stream's per-interval top 10 (T4/O10): each micro-batch writes the
+    10 largest of its updated window counts; this returns the latest batch's.
+    The events file is one micro-batch under availableNow."""
+    top_dir = scratch_path(spark, "trending-top")
+    _events_stream(spark, d, top_dir=top_dir)
+    top = spark.read.parquet(top_dir)
+    last = top.agg(F.max("batch_id").alias("_b"))
+    return (top.join(F.broadcast(last), top.batch_id == last._b)
+            .select("window_start", "window_end", "tag", "cnt"))
 
 
 # --- scalar, collection and conditional functions ------------------------------------
