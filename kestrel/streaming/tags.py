@@ -120,9 +120,12 @@ def run_trending_stream(stream: DataFrame, out_dir: str, checkpoint: str,
                             F.col("w.end").cast(typ).alias("window_end"), "tag",
                             F.col("cnt").cast("long").alias("cnt"),
                             F.lit(batch_id).cast("long").alias("batch_id"))
-        rows.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+        path = f"{out_dir}/batch={batch_id}"
+        rows.write.mode("overwrite").parquet(path)
         if top_dir:
-            top_tags(rows).write.mode("overwrite").parquet(f"{top_dir}/batch={batch_id}")
+            # from the folder just written: the micro-batch is not re-run
+            written = batch.sparkSession.read.schema(rows.schema).parquet(path)
+            top_tags(written).write.mode("overwrite").parquet(f"{top_dir}/batch={batch_id}")
 
     w = (counts.writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint)
