@@ -26,21 +26,19 @@ def words(df: DataFrame, text: str = "text", pattern: str = WORD_SPLIT,
     """
     parts = F.split(F.col(text), pattern)
     if empty_tokens == "drop":
-        toks = F.filter(parts, lambda t: t != F.lit(""))
-    elif empty_tokens == "java":
-        # keep index 0 even when empty; drop all later empties (trailing
-        # empties are the only other ones a non-empty pattern match leaves)
-        toks = F.filter(parts, lambda t, i: (t != F.lit("")) | (i == F.lit(0)))
-        toks = F.when(F.col(text) == F.lit(""), F.array(F.lit(""))).otherwise(
-            F.when(F.size(F.filter(parts, lambda t: t != F.lit(""))) == 0,
-                   F.array().cast("array<string>")).otherwise(toks))
-    else:
-        raise ValueError("empty_tokens must be 'drop' or 'java'")
-    w = F.explode(toks)
-    out = df.select(w.alias("word"))
-    if lower:
-        out = out.select(F.lower("word").alias("word"))
-    return out
+        # filter after explode: stays in whole-stage codegen (a lambda
+        # filter over the token array would be interpreted)
+        out = df.select(F.explode(parts).alias("word")).where(F.col("word") != F.lit(""))
+        return out.select(F.lower("word").alias("word")) if lower else out
+    if empty_tokens == "java":
+        # Java keeps a leading empty token (text starting with a separator)
+        # unless the text is only separators, and "" splits to [""]; it
+        # drops trailing empties, which are the only other empty tokens
+        only_seps = F.col(text).rlike("^(?:" + pattern + ")$")
+        out = df.select(only_seps.alias("_s"), F.posexplode(parts).alias("_i", "word"))
+        out = out.where((F.col("word") != F.lit("")) | ((F.col("_i") == 0) & ~F.col("_s")))
+        return out.select((F.lower("word") if lower else F.col("word")).alias("word"))
+    raise ValueError("empty_tokens must be 'drop' or 'java'")
 
 
 def word_count(df: DataFrame, text: str = "text", **kw) -> DataFrame:
