@@ -23,10 +23,14 @@ from kestrel.session import materialize, materialize_counted
 BROADCAST_ROWS = 2_000_000
 
 
+def _ends(edges: DataFrame) -> DataFrame:
+    """Both ends of every edge as ``id`` rows, from one scan of the edges."""
+    return edges.select(F.explode(F.array("src", "dst")).alias("id"))
+
+
 def degrees(edges: DataFrame) -> DataFrame:
     """In + out degree per vertex (repeats and both ends counted, D7d)."""
-    ends = edges.select(F.col("src").alias("id")).unionAll(edges.select(F.col("dst").alias("id")))
-    return ends.groupBy("id").agg(F.count("*").alias("degree"))
+    return _ends(edges).groupBy("id").agg(F.count("*").alias("degree"))
 
 
 def top_degree(edges: DataFrame, names: DataFrame, k: int = 10) -> DataFrame:
@@ -37,8 +41,7 @@ def top_degree(edges: DataFrame, names: DataFrame, k: int = 10) -> DataFrame:
 
 def vertices(edges: DataFrame, names: DataFrame, default: str = "Default") -> DataFrame:
     """G1: every named vertex plus every edge end; unnamed ends get ``default``."""
-    ends = edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id")))
-    ids = ends.union(names.select("id")).distinct()
+    ids = _ends(edges).union(names.select("id")).distinct()
     return ids.join(names.select("id", "name"), "id", "left").select(
         "id", F.coalesce(F.col("name"), F.lit(default)).alias("name"))
 
@@ -114,8 +117,7 @@ def hop_distances(edges: DataFrame, root, max_hops: int | None = 10,
     """
     lv = hop_levels(edges, root, max_hops, broadcast_rows)
     if vertex_ids is None:
-        vertex_ids = (edges.select(F.col("src").alias("id"))
-                      .union(edges.select(F.col("dst").alias("id")))
+        vertex_ids = (_ends(edges)
                       .union(edges.sparkSession.range(1).select(F.lit(root).cast("long").alias("id")))
                       .distinct())
     return vertex_ids.select("id").join(lv, "id", "left").select(
