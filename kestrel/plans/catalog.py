@@ -700,8 +700,9 @@ def array_functions(spark, d):
         s(F.filter("arr", lambda v: v % 2 == 0)).alias("evens"),
         s(F.concat("arr", F.reverse("arr"))).alias("concatenated"),
         s(F.reverse("arr")).alias("reversed"),
-        s(F.array_sort("arr")).alias("sorted"),
-        s(F.array_sort(F.array_distinct("arr"))).alias("distinct_sorted"),
+        # sort_array (codegen) rather than array_sort (a comparator lambda)
+        s(F.sort_array("arr")).alias("sorted"),
+        s(F.sort_array(F.array_distinct("arr"))).alias("distinct_sorted"),
         F.array_max("arr").alias("max_value"),
         F.array_contains("arr", 3).alias("has_three"),
         A.head(F.col("arr")).alias("head"),
