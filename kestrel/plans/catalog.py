@@ -29,16 +29,19 @@ from kestrel.sources import tables as tb
 from kestrel.sources import text as src
 from kestrel.streaming import tags
 
-# Query parameters (the reference hard-codes its equivalents).
+# Fixed values from the reference programs.
 USER_ID = 23                 # whose ratings / recommendations are shown
-SIMILAR_TO = 128             # item whose neighbours are listed
 MIN_SCORE = 0.97             # similarity threshold (strict)
-MIN_SUPPORT = 3              # co-rating count threshold (strict: n > 3)
+MAX_HOPS = 10                # Pregel superstep cap
+
+# Chosen for the test tables (the reference's own ids and files are absent).
+SIMILAR_TO = 128             # item whose neighbours are listed
+MIN_SUPPORT = 3              # co-rating threshold, strict (n > 3); the
+                             # reference's 50 exceeds every co-rating count here
 GRAPH_ROOT = 0               # hop-distance root and BFS start
 GRAPH_TARGET = 7             # hop_distance_to / degrees_of_separation target
-MAX_HOPS = 10                # Pregel superstep cap
-MIN_METRIC = "click"         # the "TMIN" rows
-MAX_METRIC = "view"          # the "TMAX" rows
+MIN_METRIC = "click"         # the rows playing the minimum-temperature role
+MAX_METRIC = "view"          # the rows playing the maximum-temperature role
 BAD_NAME_SEGMENT = "BUILDING"  # customers rendered without quotes (bad lines)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
