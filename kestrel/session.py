@@ -92,6 +92,6 @@ def materialize_counted(df, name: str):
 
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    obs = Observation(name)
+    obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")   # unique per call
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
