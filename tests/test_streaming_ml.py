@@ -125,3 +125,45 @@ def test_stream_restarts_from_checkpoint(spark, tmp_dir):
     got = sorted(tuple(r) for r in tags.read_trending_table(spark, out).collect())
     want = sorted(tuple(r) for r in tags.window_tag_counts(df.unionByName(later)).collect())
     assert got == want
+
+
+def test_elastic_net_zeroes_weight_under_large_penalty(spark):
+    rows = [(float(x % 3), float(x)) for x in range(60)]
+    df = spark.createDataFrame(rows, "label double, x double")
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    m = ml.elastic_net_fit(data, reg=100.0)
+    assert m.coefficients[0] == 0.0
+    assert abs(m.intercept - sum(r[0] for r in rows) / len(rows)) < 1e-9
+
+
+def test_ridge_with_constant_feature(spark):
+    rows = [(float(y), 2.0) for y in range(10)]
+    df = spark.createDataFrame(rows, "label double, x double")
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    w = ml.ridge_fit(data, reg=0.01).coefficients[0]
+    n = len(rows)
+    assert abs(w - (sum(2.0 * y for y, _ in rows) / n) / (4.0 + 0.01)) < 1e-9
+
+
+def test_stream_drops_events_behind_the_watermark(spark, tmp_dir):
+    """An event older than the watermark (max event time - delay) that
+    arrives in a later micro-batch no longer updates closed windows."""
+    base = dt.datetime(2024, 1, 1, 1, 0, 0)
+    first = spark.createDataFrame([(base, "#a"), (base + dt.timedelta(hours=1), "#a")],
+                                  "ts timestamp_ntz, text string")
+    late = spark.createDataFrame([(base - dt.timedelta(minutes=30), "#late")],
+                                 "ts timestamp_ntz, text string")
+    src_dir = os.path.join(tmp_dir, "in")
+    first.write.parquet(os.path.join(src_dir, "p1"))
+    out, ck = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
+
+    def run():
+        stream = spark.readStream.schema(first.schema).option("recursiveFileLookup", "true").parquet(src_dir)
+        tags.run_trending_stream(stream, out, ck, trigger={"availableNow": True},
+                                 watermark="10 minutes").awaitTermination()
+
+    run()
+    late.write.parquet(os.path.join(src_dir, "p2"))
+    run()
+    got = {r.tag for r in tags.read_trending_table(spark, out).collect()}
+    assert got == {"#a"}
