@@ -2,10 +2,8 @@
 
 import datetime as dt
 import os
-import uuid
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import functions as F
 
 from kestrel.operators import ml
 from kestrel.streaming import tags
