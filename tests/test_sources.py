@@ -105,3 +105,23 @@ def test_render_then_parse_round_trip(spark):
 def test_labelled_points(spark):
     df = src.parse_labelled_points(lines(spark, ["0.50,-0.47", "-1.74,1.66"]))
     assert [tuple(r) for r in df.collect()] == [(0.5, -0.47), (-1.74, 1.66)]
+
+
+def test_file_readers_match_line_parsers(spark, tmp_dir):
+    people = os.path.join(tmp_dir, "people.csv")
+    with open(people, "w", newline="") as f:
+        f.write("0,Ada,33,385\r\n1,Bo,26,2\r\n2,Cy,55,221\r\n")
+    a = sorted(tuple(r) for r in src.read_people(spark, people).collect())
+    b = sorted(tuple(r) for r in src.parse_people(src.read_lines(spark, people)).collect())
+    assert a == b == [(0, "Ada", 33, 385), (1, "Bo", 26, 2), (2, "Cy", 55, 221)]
+    ratings = os.path.join(tmp_dir, "ratings.tsv")
+    with open(ratings, "w") as f:
+        f.write("1\t10\t4\t880000000\n2\t11\t3\t880000001\n")
+    assert src.read_ratings(spark, ratings).select("item_id").count() == 2
+    bad = os.path.join(tmp_dir, "bad.csv")
+    with open(bad, "w") as f:
+        f.write("0,Ada,33,385\n1,Bo,x,2\n")
+    with pytest.raises(ERRORS):
+        src.read_people(spark, bad).collect()
+    # collect, not count(): a pruned count parses no field, so drops nothing
+    assert len(src.read_people(spark, bad, mode="DROPMALFORMED").collect()) == 1
