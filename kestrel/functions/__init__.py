@@ -1,0 +1 @@
+"""See the package docstring of :mod:`kestrel`."""
