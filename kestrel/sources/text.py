@@ -252,3 +252,25 @@ def read_customer_orders(spark: SparkSession, path: str, mode: str = "FAILFAST")
 
 def read_labelled_points(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
     return read_delimited(spark, path, LABELLED_SCHEMA, ",", mode)
+
+
+def read_titles(spark: SparkSession, path: str, trim: bool = False,
+                on_duplicate: str = "keep", mode: str = "FAILFAST") -> DataFrame:
+    """S7 from a file. With ``on_duplicate='last'`` the later line of a
+    repeated id wins: ``monotonically_increasing_id`` right after the scan
+    grows with the file position (split order), which serves as the
+    ordinal."""
+    lines = read_lines(spark, path).withColumn("_pos", F.monotonically_increasing_id())
+    return parse_titles(lines, trim=trim, mode=mode, on_duplicate=on_duplicate,
+                        ordinal="_pos")
+
+
+def read_quoted_names(spark: SparkSession, path: str, max_id: int | None = None,
+                      mode: str = "FAILFAST") -> DataFrame:
+    """S8/S9 from a file."""
+    return parse_quoted_names(read_lines(spark, path), max_id=max_id, mode=mode)
+
+
+def read_adjacency(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+    """S11/S12 from a file: (src, dst) edges."""
+    return parse_adjacency(read_lines(spark, path), mode=mode)

@@ -125,3 +125,19 @@ def test_file_readers_match_line_parsers(spark, tmp_dir):
         src.read_people(spark, bad).collect()
     # collect, not count(): a pruned count parses no field, so drops nothing
     assert len(src.read_people(spark, bad, mode="DROPMALFORMED").collect()) == 1
+
+
+def test_file_readers_for_line_formats(spark, tmp_dir):
+    titles = os.path.join(tmp_dir, "titles.txt")
+    with open(titles, "w") as f:
+        f.write("1|First|x\n2|Second|y\n1|First again|z\n")
+    last = {r.item_id: r.title for r in src.read_titles(spark, titles, on_duplicate="last").collect()}
+    assert last == {1: "First again", 2: "Second"}
+    names = os.path.join(tmp_dir, "names.txt")
+    with open(names, "w") as f:
+        f.write('1 "ONE"\n2 "TWO"\n7000 "DUMMY"\n')
+    assert src.read_quoted_names(spark, names, max_id=6487).count() == 2
+    graph = os.path.join(tmp_dir, "graph.txt")
+    with open(graph, "w") as f:
+        f.write("1 2 3\n2 1\n")
+    assert sorted(tuple(r) for r in src.read_adjacency(spark, graph).collect()) == [(1, 2), (1, 3), (2, 1)]
