@@ -66,12 +66,14 @@ def most_connected(line_counts: DataFrame, names: DataFrame) -> DataFrame:
 # --- level loop ---------------------------------------------------------------
 
 def _bfs(edges: DataFrame, root, max_hops: int | None, broadcast_rows: int,
-         on_level=None):
-    """Expand levels from ``root``; yield (level, frontier, size) after each
-    expansion, where ``frontier`` (column ``id``) holds the vertices first
-    reached at ``level``. ``on_level(level, frontier, size)`` runs before a
-    level is expanded and may return True to stop. The frontier size is
-    observed during the level's write job (no separate count).
+         on_level=None, watch=None):
+    """Expand levels from ``root``; yield (level, frontier, size, found)
+    after each expansion, where ``frontier`` (column ``id``) holds the
+    vertices first reached at ``level``. ``on_level(level, frontier, size)``
+    runs before a level is expanded and may return True to stop. The
+    frontier size is observed during the level's write job (no separate
+    count); with ``watch``, ``found`` says whether this level reached that
+    vertex (observed in the same job) and the loop stops there.
     """
     spark = edges.sparkSession
     e = materialize(edges.select("src", "dst").distinct(), "bfs-edges")
@@ -86,12 +88,21 @@ def _bfs(edges: DataFrame, root, max_hops: int | None, broadcast_rows: int,
         visited = reduce(DataFrame.unionAll, seen)
         if n_seen <= broadcast_rows:
             visited = F.broadcast(visited)
-        frontier, size = materialize_counted(cand.join(visited, "id", "left_anti"),
-                                             f"bfs-level{level + 1}")
+        nxt = cand.join(visited, "id", "left_anti")
+        if watch is None:
+            frontier, size = materialize_counted(nxt, f"bfs-level{level + 1}")
+            found = False
+        else:
+            frontier, size, m = materialize_counted(
+                nxt, f"bfs-level{level + 1}",
+                hit=F.max((F.col("id") == F.lit(watch)).cast("int")))
+            found = bool(m["hit"])
         level += 1
         seen.append(frontier)
         n_seen += size
-        yield level, frontier, size
+        yield level, frontier, size, found
+        if found:
+            return
 
 
 def hop_levels(edges: DataFrame, root, max_hops: int | None = 10,
@@ -100,7 +111,7 @@ def hop_levels(edges: DataFrame, root, max_hops: int | None = 10,
     spark = edges.sparkSession
     parts = [spark.range(1).select(F.lit(root).cast("long").alias("id"),
                                    F.lit(0).alias("level"))]
-    for level, frontier, size in _bfs(edges, root, max_hops, broadcast_rows):
+    for level, frontier, size, _ in _bfs(edges, root, max_hops, broadcast_rows):
         if size:
             parts.append(frontier.select("id", F.lit(level).alias("level")))
     return reduce(DataFrame.unionAll, parts)
@@ -124,6 +135,26 @@ def hop_distances(edges: DataFrame, root, max_hops: int | None = 10,
         "id", F.coalesce(F.col("level").cast("double"), F.lit(float("inf"))).alias("distance"))
 
 
+def hop_distance_to(edges: DataFrame, root, target, max_hops: int | None = 10,
+                    vertex_ids: DataFrame | None = None,
+                    broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(id, distance) of one vertex, the value ``hop_distances`` gives
+    it, but the level loop stops at the level that first reaches ``target``.
+    No row when ``target`` is not a vertex (a filter on the vertex set, as
+    in the reference)."""
+    spark = edges.sparkSession
+    dist = 0.0 if root == target else float("inf")
+    if root != target:
+        for level, _, _, found in _bfs(edges, root, max_hops, broadcast_rows, watch=target):
+            if found:
+                dist = float(level)
+    if vertex_ids is None:
+        vertex_ids = _ends(edges).union(
+            spark.range(1).select(F.lit(root).cast("long").alias("id")))
+    one = vertex_ids.select("id").where(F.col("id") == F.lit(target)).distinct()
+    return one.select("id", F.lit(dist).alias("distance"))
+
+
 def degrees_of_separation(edges: DataFrame, start, target, max_hops: int | None = None,
                           broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row (start, target, degree, hits).

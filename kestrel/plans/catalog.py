@@ -441,9 +441,8 @@ def hop_distances_named(spark, d):
   SELECT id, distance FROM ({_HOPS_SQL}) WHERE id = {GRAPH_TARGET}""")
 def hop_distance_to(spark, d):
     edges = tb.graph_edges(spark, d)
-    h = graph.hop_distances(edges, GRAPH_ROOT, MAX_HOPS,
-                            vertex_ids=graph.vertices(edges, tb.vertex_names(spark, d)).select("id"))
-    return h.where(F.col("id") == GRAPH_TARGET)
+    return graph.hop_distance_to(edges, GRAPH_ROOT, GRAPH_TARGET, MAX_HOPS,
+                                 vertex_ids=graph.vertices(edges, tb.vertex_names(spark, d)))
 
 
 @query("degrees_of_separation", f"""

@@ -84,14 +84,23 @@ def materialize(df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize_counted(df, name: str):
+def materialize_counted(df, name: str, **metrics):
     """``materialize`` that also returns the row count, observed during the
-    write job itself (``Observation``), so no second job counts the rows."""
+    write job itself (``Observation``), so no second job counts the rows.
+
+    Extra aggregate ``metrics`` (name=Column) are observed in the same job;
+    then the result is (df, rows, {name: value}).
+    """
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
     spark = df.sparkSession
     path = scratch_path(spark, name)
     obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")   # unique per call
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
+    extra = [c.alias(k) for k, c in metrics.items()]
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra).write.parquet(path)
+    got = obs.get
+    out = spark.read.schema(df.schema).parquet(path)
+    if metrics:
+        return out, int(got["rows"]), {k: got[k] for k in metrics}
+    return out, int(got["rows"])

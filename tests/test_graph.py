@@ -76,3 +76,13 @@ def test_frontier_broadcast_and_shuffle_agree(spark):
     a = sorted(tuple(r) for r in graph.hop_distances(e, 0, 10).collect())
     b = sorted(tuple(r) for r in graph.hop_distances(e, 0, 10, broadcast_rows=0).collect())
     assert a == b
+
+
+def test_hop_distance_to_stops_early_and_agrees(spark):
+    chain = [(i, i + 1) for i in range(14)] + [(0, 20), (20, 5), (30, 31)]
+    e = _edges(spark, chain)
+    full = {r.id: r.distance for r in graph.hop_distances(e, 0, 10).collect()}
+    for target in (0, 1, 5, 10, 12, 31):
+        got = [tuple(r) for r in graph.hop_distance_to(e, 0, target, 10).collect()]
+        assert got == [(target, full[target])], target
+    assert graph.hop_distance_to(e, 0, 999, 10).count() == 0    # not a vertex
