@@ -135,6 +135,37 @@ def hop_distances(edges: DataFrame, root, max_hops: int | None = 10,
         "id", F.coalesce(F.col("level").cast("double"), F.lit(float("inf"))).alias("distance"))
 
 
+def nearest(edges: DataFrame, root, k: int, max_hops: int | None = 10,
+            vertex_ids: DataFrame | None = None,
+            broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The k vertices nearest to ``root``, ordered by (distance, id),
+    as ``hop_distances(...).orderBy("distance", "id").limit(k)`` returns
+    them, but the level loop stops once k vertices are reached: every vertex
+    not reached yet is further away. If fewer than k are reachable, unreached
+    vertices (``Infinity``) fill up by id."""
+    spark = edges.sparkSession
+    state = {"seen": 1}
+
+    def enough(level, frontier, size):
+        return level >= 1 and state["seen"] >= k
+
+    parts = [spark.range(1).select(F.lit(root).cast("long").alias("id"), F.lit(0).alias("level"))]
+    for level, frontier, size, _ in _bfs(edges, root, max_hops, broadcast_rows, on_level=enough):
+        state["seen"] += size
+        if size:
+            parts.append(frontier.select("id", F.lit(level).alias("level")))
+    lv = reduce(DataFrame.unionAll, parts)
+    if len(parts) > 1 and state["seen"] >= k:
+        cand = lv.select("id", F.col("level").cast("double").alias("distance"))
+    else:
+        if vertex_ids is None:
+            vertex_ids = _ends(edges).union(
+                spark.range(1).select(F.lit(root).cast("long").alias("id"))).distinct()
+        cand = vertex_ids.select("id").join(lv, "id", "left").select(
+            "id", F.coalesce(F.col("level").cast("double"), F.lit(float("inf"))).alias("distance"))
+    return cand.orderBy("distance", "id").limit(k)
+
+
 def hop_distance_to(edges: DataFrame, root, target, max_hops: int | None = 10,
                     vertex_ids: DataFrame | None = None,
                     broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:

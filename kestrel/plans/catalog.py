@@ -433,8 +433,11 @@ def hop_distances(spark, d):
 @query("hop_distances_named", f"""
   SELECT id, name, distance FROM ({_HOPS_SQL}) ORDER BY distance, id LIMIT 100""")
 def hop_distances_named(spark, d):
-    h = _hops(spark, d)
-    return h.orderBy("distance", "id").limit(100).select("id", "name", "distance")
+    edges = tb.graph_edges(spark, d)
+    verts = graph.vertices(edges, tb.vertex_names(spark, d))
+    near = graph.nearest(edges, GRAPH_ROOT, 100, MAX_HOPS, vertex_ids=verts.select("id"))
+    named = basic.lookup(near, verts, "id", "name", broadcast="left")
+    return named.select("id", "name", "distance")
 
 
 @query("hop_distance_to", f"""

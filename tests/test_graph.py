@@ -86,3 +86,12 @@ def test_hop_distance_to_stops_early_and_agrees(spark):
         got = [tuple(r) for r in graph.hop_distance_to(e, 0, target, 10).collect()]
         assert got == [(target, full[target])], target
     assert graph.hop_distance_to(e, 0, 999, 10).count() == 0    # not a vertex
+
+
+def test_nearest_matches_full_distances(spark):
+    pairs = [(i, (i * 7 + 3) % 60) for i in range(60)] + [(0, 1), (1, 2), (70, 71)]
+    e = _edges(spark, pairs)
+    full = sorted((r.distance, r.id) for r in graph.hop_distances(e, 0, 10).collect())
+    for k in (1, 3, 10, 61, 200):
+        got = [(r.distance, r.id) for r in graph.nearest(e, 0, k, 10).collect()]
+        assert got == full[:k], k
