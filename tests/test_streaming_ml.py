@@ -95,7 +95,10 @@ def test_als_recommend_shape_and_repeatability(spark):
     ra = [(r.item_id, round(r.rating, 5)) for r in a.orderBy("rank").collect()]
     rb = [(r.item_id, round(r.rating, 5)) for r in b.orderBy("rank").collect()]
     assert len(ra) == 5 and ra == rb
-    assert [r.rank for r in a.orderBy("rank").collect()] == [1, 2, 3, 4, 5]
+    ranked = a.orderBy("rank").collect()
+    assert [r.rank for r in ranked] == [1, 2, 3, 4, 5]
+    assert all(x.rating >= y.rating for x, y in zip(ranked, ranked[1:]))
+    assert len({r.item_id for r in ranked}) == 5
 
 
 def test_stream_restarts_from_checkpoint(spark, tmp_dir):
