@@ -206,6 +206,16 @@ def word_count(spark, d):
     return T.word_count(_t(spark, d, "documents").select("text"), "text")
 
 
+@query("word_count_sorted", r"""
+  SELECT lower(w) AS word, count(*) AS cnt
+  FROM (SELECT unnest(regexp_split_to_array(text, '\W+')) AS w FROM documents)
+  WHERE w <> '' GROUP BY 1 ORDER BY cnt, word""")
+def word_count_sorted(spark, d):
+    """O1: the whole word list ascending by count, ties by word — a
+    range-partitioned distributed sort, not a driver-side one."""
+    return word_count(spark, d).orderBy("cnt", "word")
+
+
 @query("word_count_java", r"""
   WITH l AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
   t AS (SELECT line, regexp_split_to_array(line, '\W+') AS toks FROM l),
