@@ -40,9 +40,15 @@ def top_degree(edges: DataFrame, names: DataFrame, k: int = 10) -> DataFrame:
 
 
 def vertices(edges: DataFrame, names: DataFrame, default: str = "Default") -> DataFrame:
-    """G1: every named vertex plus every edge end; unnamed ends get ``default``."""
+    """G1: every named vertex plus every edge end; unnamed ends get ``default``.
+
+    One row per id: a repeated name id keeps its smallest name (a graph
+    keeps one attribute per vertex; this makes the choice deterministic).
+    The per-id aggregate and the join share the hash partitioning on ``id``.
+    """
+    one = names.groupBy("id").agg(F.min("name").alias("name"))
     ids = _ends(edges).union(names.select("id")).distinct()
-    return ids.join(names.select("id", "name"), "id", "left").select(
+    return ids.join(one, "id", "left").select(
         "id", F.coalesce(F.col("name"), F.lit(default)).alias("name"))
 
 

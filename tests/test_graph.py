@@ -47,6 +47,9 @@ def test_degrees_vertices_and_most_connected(spark):
     names = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C"), (9, "Z")], "id long, name string")
     v = {r.id: r.name for r in graph.vertices(e, names).collect()}
     assert v == {1: "A", 2: "B", 3: "C", 4: "Default", 9: "Z"}
+    dup = names.unionByName(spark.createDataFrame([(1, "AA")], "id long, name string"))
+    rows = graph.vertices(e, dup).collect()
+    assert len(rows) == 5 and {r.id: r.name for r in rows}[1] == "A"
     top = [tuple(r) for r in graph.top_degree(e, names, 2).collect()]
     assert top == [(1, "A", 3), (2, "B", 3)]
     counts = spark.createDataFrame([(1, 2), (2, 3), (1, 1)], "id long, n long")
