@@ -109,3 +109,34 @@ def test_match_and_map_lookup(spark):
         "k", F.map_contains_key(m, F.col("k")).alias("has"),
         A.lookup_or(m, F.col("k"), "Unknown").alias("ship")).collect()}
     assert got == {"Janeway": (True, "Voyager"), "Archer": (False, "Unknown")}
+
+
+def _java_split(s):
+    """Java's String.split("\\W+") with limit 0: ASCII \\W, no match -> [s],
+    trailing empty strings removed."""
+    import re
+    if s == "":
+        return [""]
+    parts = re.split(r"\W+", s, flags=re.ASCII)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_java_split_rules_on_random_text(spark):
+    import random
+    rnd = random.Random(11)
+    alphabet = ["a", "B", "z", "0", "7", "_", " ", ",", ".", "!", "é", "ß", "\t", "-"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "rid int, text string")
+    toks = df.select("rid", F.posexplode(F.split("text", r"\W+")).alias("_i", "w"),
+                     F.col("text").rlike(r"^(?:\W+)$").alias("_s"))
+    # the same rule words() applies, kept per row to compare row by row
+    got = {}
+    for r in toks.where((F.col("w") != "") | ((F.col("_i") == 0) & ~F.col("_s"))).collect():
+        got.setdefault(r.rid, []).append((r._i, r.w))
+    for rid, text in enumerate(texts):
+        assert [w for _, w in sorted(got.get(rid, []))] == _java_split(text), repr(text)
+    # and words() yields exactly these tokens (lower-cased) as a multiset
+    expect = sorted(w.lower() for t in texts for w in _java_split(t))
+    assert sorted(r.word for r in T.words(df, empty_tokens="java").collect()) == expect
