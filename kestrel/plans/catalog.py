@@ -49,6 +49,7 @@ ORACLE: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
+    """Register ``fn`` under ``name`` with its oracle ``sql`` (None = rows-only)."""
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
@@ -130,6 +131,7 @@ _TAGS_SQL = """
   SELECT CAST(trunc(l_quantity) AS INTEGER) AS rating, count(*) AS cnt
   FROM lineitem GROUP BY 1""")
 def rating_histogram(spark, d):
+    """A1: how many ratings of each star value (quantity as the rating)."""
     li = _t(spark, d, "lineitem")
     return basic.value_histogram(li, F.col("l_quantity").cast("int"), "rating")
 
@@ -138,6 +140,7 @@ def rating_histogram(spark, d):
   SELECT user_id, CAST(sum(CAST(floor(value) AS BIGINT)) // count(*) AS BIGINT) AS avg_value
   FROM events GROUP BY user_id""")
 def truncated_avg_by_key(spark, d):
+    """Mean value per user with the reference's integer division."""
     ev = _t(spark, d, "events")
     return basic.mean_by_key(ev, "user_id", F.floor("value"), "avg_value", mode="truncate")
 
@@ -146,6 +149,7 @@ def truncated_avg_by_key(spark, d):
   SELECT c_nationkey, CAST(sum(CAST(floor(c_acctbal) AS BIGINT)) // count(*) AS BIGINT) AS avg_balance
   FROM customer GROUP BY c_nationkey""")
 def truncated_avg_by_nation(spark, d):
+    """A5/D4 with negative sums: mean balance per nation, truncated toward zero."""
     c = _t(spark, d, "customer")
     return basic.mean_by_key(c, "c_nationkey", F.floor("c_acctbal"), "avg_balance",
                              mode="truncate")
@@ -154,6 +158,7 @@ def truncated_avg_by_nation(spark, d):
 @query("exact_avg_by_key", """
   SELECT user_id, round(avg(value), 6) AS avg_value FROM events GROUP BY user_id""")
 def exact_avg_by_key(spark, d):
+    """A5 ``mode='exact'``: the double mean per user."""
     ev = _t(spark, d, "events")
     out = basic.mean_by_key(ev, "user_id", "value", "avg_value", mode="exact")
     return out.select("user_id", F.round("avg_value", 6).alias("avg_value"))
@@ -163,6 +168,7 @@ def exact_avg_by_key(spark, d):
   SELECT user_id AS station, min({_FAHRENHEIT_SQL}) AS temp_f
   FROM events WHERE event_type = '{MIN_METRIC}' GROUP BY 1""")
 def min_reading_by_station(spark, d):
+    """Lowest °F reading per station for the minimum metric."""
     ev = _t(spark, d, "events").where(F.col("event_type") == MIN_METRIC)
     ev = ev.select(F.col("user_id").alias("station"), T.fahrenheit_from_tenths("value").alias("t"))
     return basic.extreme_by_key(ev, "station", "t", "min", "temp_f")
@@ -172,6 +178,7 @@ def min_reading_by_station(spark, d):
   SELECT user_id AS station, max({_FAHRENHEIT_SQL}) AS temp_f
   FROM events WHERE event_type = '{MAX_METRIC}' GROUP BY 1""")
 def max_reading_by_station(spark, d):
+    """Highest °F reading per station for the maximum metric."""
     ev = _t(spark, d, "events").where(F.col("event_type") == MAX_METRIC)
     ev = ev.select(F.col("user_id").alias("station"), T.fahrenheit_from_tenths("value").alias("t"))
     return basic.extreme_by_key(ev, "station", "t", "max", "temp_f")
@@ -184,6 +191,7 @@ def max_reading_by_station(spark, d):
                                      AS DECIMAL(38, 12)), 2)) AS reading
   FROM events WHERE event_type = '{MIN_METRIC}' GROUP BY 1""")
 def format_reading(spark, d):
+    """the minimum reading formatted as ``%.2f F``."""
     m = min_reading_by_station(spark, d)
     return m.select("station", T.format_reading("temp_f").alias("reading"))
 
@@ -193,6 +201,7 @@ def format_reading(spark, d):
          CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
   FROM orders GROUP BY 1""")
 def spend_by_customer(spark, d):
+    """A4/D3: exact decimal spend per customer."""
     o = _t(spark, d, "orders").select(F.col("o_custkey").alias("customer_id"), "o_totalprice")
     s = basic.sum_by_key(o, "customer_id", "o_totalprice", "total", money=True)
     return s.select("customer_id", F.col("total").cast("double").alias("total"))
@@ -203,6 +212,7 @@ def spend_by_customer(spark, d):
   FROM (SELECT unnest(regexp_split_to_array(text, '\W+')) AS w FROM documents)
   WHERE w <> '' GROUP BY 1""")
 def word_count(spark, d):
+    """Word frequencies over the whole text of every document."""
     return T.word_count(_t(spark, d, "documents").select("text"), "text")
 
 
@@ -236,6 +246,7 @@ def word_count_java(spark, d):
 @query("item_popularity", """
   SELECT l_partkey AS item_id, count(*) AS cnt FROM lineitem GROUP BY 1""")
 def item_popularity(spark, d):
+    """A2: ratings per item."""
     return basic.count_by_key(_t(spark, d, "lineitem"), "l_partkey", "item_id")
 
 
@@ -244,6 +255,7 @@ def item_popularity(spark, d):
   FROM (SELECT l_partkey AS item_id, count(*) AS cnt FROM lineitem GROUP BY 1) c
   LEFT JOIN part p ON p.p_partkey = c.item_id""")
 def item_popularity_named(spark, d):
+    """Ratings per item with its title (left join; no hint, Spark sizes it)."""
     pop = item_popularity(spark, d)
     out = basic.lookup(pop, tb.item_titles(spark, d), "item_id", "title")
     return out.select("item_id", "title", "cnt")
@@ -255,6 +267,7 @@ def item_popularity_named(spark, d):
   LEFT JOIN part p ON p.p_partkey = c.item_id
   ORDER BY c.cnt DESC, c.item_id LIMIT 10""")
 def top_items(spark, d):
+    """The 10 most rated items with titles (the flagship query)."""
     pop = item_popularity(spark, d)
     top = basic.top_k(pop, [F.desc("cnt"), F.asc("item_id")], 10)
     # the 10-row side is the bounded one: broadcast it, stream the titles
@@ -268,6 +281,7 @@ def top_items(spark, d):
   LEFT JOIN part ON p_partkey = l_partkey
   WHERE o_custkey = {USER_ID}""")
 def user_ratings(spark, d):
+    """One user's ratings with titles."""
     r = tb.ratings(spark, d).where(F.col("user_id") == USER_ID)
     out = basic.lookup(r, tb.item_titles(spark, d), "item_id", "title")
     return out.select("user_id", "item_id", "title", "rating")
@@ -277,27 +291,32 @@ def user_ratings(spark, d):
 
 @query("select_names", "SELECT p_name AS name FROM part")
 def select_names(spark, d):
+    """A single column."""
     return _t(spark, d, "part").select(F.col("p_name").alias("name"))
 
 
 @query("filter_under", "SELECT * FROM part WHERE p_size < 21")
 def filter_under(spark, d):
+    """Rows with age (size) under 21."""
     return _t(spark, d, "part").where(F.col("p_size") < 21)
 
 
 @query("add_constant", "SELECT p_name AS name, p_size + 10 AS age_plus_10 FROM part")
 def add_constant(spark, d):
+    """Name with age + 10."""
     p = _t(spark, d, "part")
     return p.select(F.col("p_name").alias("name"), (F.col("p_size") + 10).alias("age_plus_10"))
 
 
 @query("count_by_key", "SELECT p_size AS age, count(*) AS cnt FROM part GROUP BY 1")
 def count_by_key(spark, d):
+    """A3/O3: rows per age."""
     return basic.count_by_key(_t(spark, d, "part"), "p_size", "age")
 
 
 @query("sql_age_band", "SELECT * FROM part WHERE p_size >= 13 AND p_size <= 19")
 def sql_age_band(spark, d):
+    """``SELECT *`` with a closed range, through ``spark.sql`` on a temp view."""
     return basic.sql_range(_t(spark, d, "part"), "p_size", 13, 19)
 
 
@@ -308,6 +327,7 @@ def sql_age_band(spark, d):
          CAST(floor(p_retailprice) AS INTEGER) AS num_friends
   FROM part""")
 def parse_people(spark, d):
+    """People rendered as CSV lines and parsed back."""
     p = _t(spark, d, "part").select("p_partkey", "p_name", "p_size",
                                     F.floor("p_retailprice").alias("f"))
     lines = src.render_delimited(p, ["p_partkey", "p_name", "p_size", "f"], ",")
@@ -316,6 +336,7 @@ def parse_people(spark, d):
 
 @query("parse_titles", "SELECT p_partkey AS item_id, p_name AS title FROM part")
 def parse_titles(spark, d):
+    """Pipe-delimited titles parsed back, duplicate ids checked."""
     p = _t(spark, d, "part")
     lines = src.render_delimited(p, ["p_partkey", "p_name", "p_brand", "p_type"], "|")
     return src.parse_titles(lines, on_duplicate="error")
@@ -325,6 +346,7 @@ def parse_titles(spark, d):
   SELECT c_custkey AS id, c_name AS name FROM customer
   WHERE c_mktsegment <> '{BAD_NAME_SEGMENT}'""")
 def parse_quoted_names(spark, d):
+    """Quoted names parsed back; lines without quotes are dropped."""
     c = _t(spark, d, "customer")
     good = F.concat(F.col("c_custkey").cast("string"), F.lit(' "'), F.col("c_name"), F.lit('"'))
     bad = F.concat(F.col("c_custkey").cast("string"), F.lit(" "), F.col("c_name"))
@@ -379,6 +401,7 @@ def parse_customer_orders(spark, d):
 @query("parse_labelled_points", """
   SELECT l_extendedprice / 1000 AS label, l_quantity AS x FROM lineitem""")
 def parse_labelled_points(spark, d):
+    """``label,feature`` lines parsed back."""
     li = _t(spark, d, "lineitem").select((F.col("l_extendedprice") / 1000).alias("label"),
                                          F.col("l_quantity").alias("x"))
     return src.parse_labelled_points(src.render_delimited(li, ["label", "x"], ","))
@@ -392,12 +415,14 @@ def _adjacency_lines(spark, d) -> DataFrame:
 
 @query("parse_adjacency", f"SELECT src, dst FROM ({_EDGES_SQL})")
 def parse_adjacency(spark, d):
+    """Adjacency lines (≤64 entries each) parsed back to edges."""
     return src.parse_adjacency(_adjacency_lines(spark, d))
 
 
 @query("connection_counts", f"""
   SELECT src AS id, count(*) AS n FROM ({_EDGES_SQL}) GROUP BY 1""")
 def connection_counts(spark, d):
+    """Neighbour entries per vertex summed over its lines."""
     return graph.connection_counts(src.adjacency_counts(_adjacency_lines(spark, d)))
 
 
@@ -407,6 +432,7 @@ def connection_counts(spark, d):
   JOIN customer cu ON cu.c_custkey = c.id
   ORDER BY c.n DESC, c.id DESC LIMIT 1""")
 def most_connected(spark, d):
+    """The vertex with the most entries (ties: larger id) and its name."""
     counts = src.adjacency_counts(_adjacency_lines(spark, d))
     return graph.most_connected(counts, tb.vertex_names(spark, d))
 
@@ -415,6 +441,7 @@ def most_connected(spark, d):
 
 @query("graph_vertices", _VERTICES_SQL)
 def graph_vertices(spark, d):
+    """G1: named vertices plus edge ends, ``Default`` where unnamed."""
     return graph.vertices(tb.graph_edges(spark, d), tb.vertex_names(spark, d))
 
 
@@ -425,6 +452,7 @@ def graph_vertices(spark, d):
   FROM dg JOIN customer ON c_custkey = dg.id
   ORDER BY dg.degree DESC, dg.id LIMIT 10""")
 def top_degree(spark, d):
+    """The 10 named vertices with the highest in+out degree."""
     return graph.top_degree(tb.graph_edges(spark, d), tb.vertex_names(spark, d), 10)
 
 
@@ -437,12 +465,14 @@ def _hops(spark, d) -> DataFrame:
 
 @query("hop_distances", f"SELECT id, distance FROM ({_HOPS_SQL})")
 def hop_distances(spark, d):
+    """Hop distance from the root for every vertex (Infinity past 10)."""
     return _hops(spark, d).select("id", "distance")
 
 
 @query("hop_distances_named", f"""
   SELECT id, name, distance FROM ({_HOPS_SQL}) ORDER BY distance, id LIMIT 100""")
 def hop_distances_named(spark, d):
+    """The 100 vertices nearest to the root, with names."""
     edges = tb.graph_edges(spark, d)
     verts = graph.vertices(edges, tb.vertex_names(spark, d))
     near = graph.nearest(edges, GRAPH_ROOT, 100, MAX_HOPS, vertex_ids=verts.select("id"))
@@ -453,6 +483,7 @@ def hop_distances_named(spark, d):
 @query("hop_distance_to", f"""
   SELECT id, distance FROM ({_HOPS_SQL}) WHERE id = {GRAPH_TARGET}""")
 def hop_distance_to(spark, d):
+    """Hop distance from the root to one vertex."""
     edges = tb.graph_edges(spark, d)
     return graph.hop_distance_to(edges, GRAPH_ROOT, GRAPH_TARGET, MAX_HOPS,
                                  vertex_ids=graph.vertices(edges, tb.vertex_names(spark, d)))
@@ -473,6 +504,7 @@ def hop_distance_to(spark, d):
          CAST(count(*) FILTER (WHERE lvl = (SELECT min(lvl) FROM into_t)) AS BIGINT) AS hits
   FROM into_t""")
 def degrees_of_separation(spark, d):
+    """BFS degree and hit count from start to target."""
     return graph.degrees_of_separation(tb.graph_edges(spark, d), GRAPH_ROOT, GRAPH_TARGET,
                                        max_hops=MAX_HOPS)
 
@@ -481,6 +513,7 @@ def degrees_of_separation(spark, d):
 
 @query("item_similarity", _PAIRS_SQL)
 def item_similarity(spark, d):
+    """Cosine similarity and support of every co-rated item pair."""
     return similarity.item_similarity(tb.ratings(spark, d))
 
 
@@ -492,6 +525,7 @@ def item_similarity(spark, d):
   WHERE (item1 = {SIMILAR_TO} OR item2 = {SIMILAR_TO}) AND score > {MIN_SCORE} AND n > {MIN_SUPPORT}
   ORDER BY score DESC, n DESC, item_id LIMIT 10""")
 def similar_items(spark, d):
+    """The 10 items most similar to one item, over thresholds."""
     return similarity.similar_items(tb.ratings(spark, d), SIMILAR_TO, MIN_SCORE, MIN_SUPPORT,
                                     10, titles=tb.item_titles(spark, d))
 
@@ -500,6 +534,7 @@ def similar_items(spark, d):
 
 @query("als_recommend")  # no SQL form: rows-only check
 def als_recommend(spark, d):
+    """M1/M2: ALS top-10 items for one user with titles (rows-only check)."""
     recs = ml.als_recommend(tb.ratings(spark, d), USER_ID, 10)
     out = basic.lookup(recs, tb.item_titles(spark, d), "item_id", "title", broadcast="left")
     return out.select("user_id", "item_id", "title", "rating", "rank")
@@ -518,6 +553,7 @@ def _ridge_data(spark, d):
                / (avg(l_quantity * l_quantity) + 0.01), 6) AS coefficient
   FROM lineitem""")
 def ridge_fit(spark, d):
+    """The exact ridge coefficient (6 decimals)."""
     m = ml.ridge_fit(_ridge_data(spark, d))
     return spark.range(1).select(F.round(F.lit(float(m.coefficients[0])), 6).alias("coefficient"))
 
@@ -529,6 +565,7 @@ def ridge_fit(spark, d):
          l_extendedprice / 1000 AS label
   FROM lineitem, w""")
 def ridge_predict(spark, d):
+    """M7: ridge predictions next to labels for every line."""
     data = _ridge_data(spark, d)
     m = ml.ridge_fit(data)
     p = ml.predict(m, data, keep=["l_orderkey", "l_linenumber"])
@@ -539,6 +576,7 @@ def ridge_predict(spark, d):
 @query("holdout_split", """
   SELECT l_orderkey, l_linenumber, l_orderkey % 2 < 1 AS train FROM lineitem""")
 def holdout_split(spark, d):
+    """M5: every line flagged train/test by the deterministic split rule."""
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
     return li.withColumn("train", ml.in_train("l_orderkey"))   # one scan
 
@@ -564,6 +602,7 @@ _ENET_SQL = """
 @query("elastic_net_fit", _ENET_SQL + """
   SELECT round(w, 3) AS coefficient, round(my - w * mx, 3) AS intercept, n AS n_train FROM m""")
 def elastic_net_fit(spark, d):
+    """M6: elastic-net coefficient and intercept on the training half (3 decimals)."""
     m, tr, _ = _enet(spark, d)
     n = tr.count()
     return spark.range(1).select(F.round(F.lit(float(m.coefficients[0])), 3).alias("coefficient"),
@@ -578,6 +617,7 @@ def elastic_net_fit(spark, d):
          round(avg(te.label), 3) AS mean_label
   FROM te, m GROUP BY w, my, mx""")
 def elastic_net_predict(spark, d):
+    """M7: prediction summary on the test half (3 decimals)."""
     m, _, te = _enet(spark, d)
     p = ml.predict(m, te)
     return p.agg(F.count("*").alias("n_test"),
@@ -589,12 +629,14 @@ def elastic_net_predict(spark, d):
 
 @query("window_trending_tags", _TAGS_SQL)
 def window_trending_tags(spark, d):
+    """Tag counts in every 300 s window sliding by 10 s (batch)."""
     return tags.window_tag_counts(tb.tag_messages(spark, d))
 
 
 @query("top_trending_tags", f"""
   SELECT * FROM ({_TAGS_SQL}) ORDER BY cnt DESC, window_start DESC, tag LIMIT 10""")
 def top_trending_tags(spark, d):
+    """The 10 largest window counts."""
     return tags.top_tags(window_trending_tags(spark, d))
 
 
@@ -653,6 +695,7 @@ def stream_top_tags(spark, d):
          p_name = 'hot gear' AS is_hot_gear
   FROM part""")
 def text_functions(spark, d):
+    """Padding, fixed decimals, regex capture, upper, reverse, equality."""
     p = _t(spark, d, "part")
     label = F.concat(F.col("p_name"), F.lit(" size "), F.col("p_size").cast("string"))
     return p.select(
@@ -670,6 +713,7 @@ def text_functions(spark, d):
                     ELSE 'Something else' END AS size_label
   FROM part""")
 def case_label(spark, d):
+    """value match with a default."""
     p = _t(spark, d, "part")
     return p.select("p_partkey", A.match_label(F.col("p_size"), {1: "One", 2: "Two", 3: "Three"},
                                                "Something else").alias("size_label"))
@@ -697,6 +741,7 @@ def case_label(spark, d):
          l_orderkey AS pair_key
   FROM a""")
 def array_functions(spark, d):
+    """List functions with function arguments, per row."""
     li = _t(spark, d, "lineitem")
     arr = F.array(F.col("l_linenumber"), F.col("l_quantity").cast("int"),
                   (F.col("l_orderkey") % 10).cast("int"), F.col("l_linenumber"))
@@ -734,6 +779,7 @@ def array_functions(spark, d):
               ELSE 'Unknown' END AS status_or_unknown
   FROM orders""")
 def map_lookup(spark, d):
+    """Map literal, key test, lookup and lookup with a default."""
     o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
     m = A.literal_map({"F": "finished", "O": "open"})
     k = F.col("o_orderstatus")
