@@ -58,6 +58,11 @@ def window_tag_counts(messages: DataFrame, text: str = "text", ts: str = "ts",
         us = _micros(F.col(ts), ntz)
         pane = us - F.pmod(us, F.lit(S * 1_000_000))
         panes = tags.groupBy(pane.alias("_p"), "tag").agg(F.count("*").alias("_c"))
+        # the next step multiplies rows by L/S: spread the (small) pane rows
+        # over all shuffle partitions (a repartition by number is never
+        # coalesced by AQE) instead of letting their size pick a few tasks
+        n = int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        panes = panes.repartition(n)
         k = F.explode(F.sequence(F.lit(0), F.lit(L // S - 1))).alias("_k")
         spread = panes.select("tag", "_c", "_p", k).select(
             "tag", "_c", (F.col("_p") - F.col("_k") * F.lit(S * 1_000_000)).alias("_s"))
