@@ -115,10 +115,82 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM hits
 """
 
 
+# ------------------------------------------------------------- 4: toxicity
+
+def op4_toxicity(spark, sf_dir):
+    """Toxicity score of every document; learns from the rows not held out."""
+    from kestrel.llm import toxicity
+    from kestrel.llm.langid import crc_mod
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    lexicon = toxicity.fit(docs, labels.where(crc_mod(F.col("doc_id"), 5) != 0))
+    return toxicity.score(docs, lexicon).select(
+        F.col("id").alias("doc_id"),
+        F.coalesce(crc_mod(F.col("id"), 5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+# ---------------------------------------------------------- 6: language ID
+
+def op6_language_id(spark, sf_dir):
+    """Language of every document; learns from the rows not held out."""
+    from kestrel.llm import langid
+    docs = _read(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(langid.crc_mod(F.col("doc_id"), 4) != 2))
+    return langid.predict(docs, model).select(
+        F.col("id").alias("doc_id"),
+        F.coalesce(langid.crc_mod(F.col("id"), 4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred", "score")
+
+
+# -------------------------------------------------------- 8: byte-level BPE
+
+def op8_byte_bpe(spark, sf_dir):
+    """Byte-level BPE ids of every document, and what they decode to."""
+    import public_tokenizers
+
+    from kestrel.llm import bpe
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    ids = bpe.encode(_read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(ids, ranks).select(
+        F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+# ------------------------------------------------------- 9: substring dedup
+
+def op9_substring_dedup(spark, sf_dir):
+    """Words of every document outside passages of smaller documents."""
+    from kestrel.llm.substring import substring_dedup
+    return substring_dedup(_read(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed",
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+# -------------------------------------------------------- 10: token counts
+
+TOKEN_LIMIT = 2048
+
+
+def op10_token_counts(spark, sf_dir):
+    """Token count of every document by the word-level vocabulary."""
+    import public_tokenizers
+
+    from kestrel.llm.token_count import count_tokens
+    out = count_tokens(_read(spark, sf_dir, "documents"),
+                       public_tokenizers.path("word_bpe_49k.json"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens",
+                      (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_url_filter": op3_url_filter,
+    "op4_toxicity": op4_toxicity,
+    "op6_language_id": op6_language_id,
+    "op8_byte_bpe": op8_byte_bpe,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE = {
