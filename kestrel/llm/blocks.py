@@ -125,3 +125,45 @@ def by_bucket(keys: np.ndarray, buckets: int):
     for part in np.split(order, cuts):
         if len(part):
             yield int((keys[part[0]] >> np.uint64(40)) % np.uint64(buckets)), part
+
+
+ASKED = "bucket int, block long, asked binary"
+ANSWER = "block long, bucket int, answer binary"
+
+
+def question(block: int, keys: np.ndarray, ids: np.ndarray, buckets: int) -> list[tuple]:
+    """What a block asks about its keys: per distinct key the smallest and
+    largest id (of any kind, int64) and how many entries it has. One row per
+    bucket; the answer comes back in the same order (sorted by key)."""
+    if not len(keys):
+        return []
+    order = np.argsort(keys, kind="stable")
+    keys, ids = keys[order], ids[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    low, high = np.minimum.reduceat(ids, first), np.maximum.reduceat(ids, first)
+    n = np.diff(np.r_[first, len(keys)]).astype(np.uint32)
+    keys = keys[first]
+    return [(k, block, pack_arrays(keys[at], low[at], high[at] - low[at], n[at]))
+            for k, at in by_bucket(keys, buckets)]
+
+
+def meet(rows: pd.DataFrame):
+    """All questions of a bucket. Per block: the block, its keys, their
+    largest id in the block, their smallest and largest id anywhere, and
+    their entries anywhere."""
+    parts = [unpack_arrays(a, np.uint64, np.int64, np.int64, np.uint32) for a in rows["asked"]]
+    keys, low, span, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    high = low + span
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    new = np.r_[True, ordered[1:] != ordered[:-1]]
+    first = np.flatnonzero(new)
+    group = np.empty(len(keys), np.int64)
+    group[order] = np.cumsum(new) - 1
+    low_all = np.minimum.reduceat(low[order], first)[group]
+    high_all = np.maximum.reduceat(high[order], first)[group]
+    n_all = np.add.reduceat(n[order].astype(np.int64), first)[group]
+    ends = np.cumsum([len(p[0]) for p in parts])
+    for block, end, p in zip(rows["block"], ends, parts, strict=True):
+        at = slice(end - len(p[0]), end)
+        yield block, keys[at], high[at], low_all[at], high_all[at], n_all[at]

@@ -129,6 +129,15 @@ def op4_toxicity(spark, sf_dir):
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+# ------------------------------------------------ 5: embedding near-dedup
+
+def op5_embedding_dedup(spark, sf_dir):
+    """Links of all embeddings at cosine 0.9 and their components."""
+    from kestrel.llm.embed_dedup import embed_dedup
+    return embed_dedup(_read(spark, sf_dir, "embeddings")).select(
+        F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
 # ---------------------------------------------------------- 6: language ID
 
 def op6_language_id(spark, sf_dir):
@@ -142,6 +151,15 @@ def op6_language_id(spark, sf_dir):
         "lang_pred", "score")
 
 
+# ----------------------------------------------------- 7: Jaccard join
+
+def op7_jaccard_join(spark, sf_dir):
+    """Classes of documents whose 4-word shingles overlap by 85 % or more."""
+    from kestrel.llm.jaccard_join import jaccard_join
+    return jaccard_join(_read(spark, sf_dir, "documents"), n=4, threshold=85).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 # -------------------------------------------------------- 8: byte-level BPE
 
 def op8_byte_bpe(spark, sf_dir):
@@ -187,7 +205,9 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_toxicity": op4_toxicity,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_language_id": op6_language_id,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,

@@ -29,8 +29,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from kestrel.llm.blocks import (BLOCK_BYTES, Hashes, blocks, buckets_for, by_bucket,
-                                pack_arrays, shingles, text_bytes, unpack, unpack_arrays)
+from kestrel.llm.blocks import (ANSWER, ASKED, BLOCK_BYTES, Hashes, blocks, buckets_for,
+                                by_bucket, meet, pack_arrays, question, shingles,
+                                text_bytes, unpack, unpack_arrays)
 
 NONE = np.iinfo(np.int64).max
 
@@ -60,55 +61,18 @@ def _documents(block: pd.DataFrame, window: int, gram: int):
         yield i, Parsed(raw, hashes, window, gram)
 
 
-def _question(block: int, keys: np.ndarray, ids: np.ndarray, buckets: int, ends: bool):
-    """Distinct keys of a block with their smallest (and largest) id."""
-    order = np.argsort(keys, kind="stable")
-    keys, ids = keys[order], ids[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else []
-    low = np.minimum.reduceat(ids, first) if len(keys) else ids
-    high = np.maximum.reduceat(ids, first) if len(keys) else ids
-    keys = keys[first] if len(keys) else keys
-    return [(k, block, pack_arrays(keys[at], low[at], high[at] - low[at]))
-            for k, at in by_bucket(keys, buckets)]
-
-
-ASKED = "bucket int, block long, asked binary"
-ANSWER = "block long, bucket int, answer binary"
-
-
-def _meet(rows: pd.DataFrame):
-    """All keys of a bucket: per block its keys, low, high and global low, high."""
-    parts = [unpack_arrays(a, np.uint64, np.int64, np.int64) for a in rows["asked"]]
-    keys = np.concatenate([p[0] for p in parts])
-    low = np.concatenate([p[1] for p in parts])
-    high = low + np.concatenate([p[2] for p in parts])
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
-    new = np.r_[True, ordered[1:] != ordered[:-1]]
-    first = np.flatnonzero(new)
-    group = np.empty(len(keys), np.int64)
-    group[order] = np.cumsum(new) - 1
-    low_all = np.minimum.reduceat(low[order], first)[group]
-    high_all = np.maximum.reduceat(high[order], first)[group]
-    at = 0
-    for block, p in zip(rows["block"], parts, strict=True):
-        here = slice(at, at + len(p[0]))
-        at += len(p[0])
-        yield block, keys[here], high[here], low_all[here], high_all[here]
-
-
 def _shared_anchors(rows: pd.DataFrame) -> pd.DataFrame:
     """Which keys occur in two documents; a mask in the order asked."""
     bucket = rows["bucket"].iat[0]
     return pd.DataFrame([(b, bucket, np.packbits(lo != hi).tobytes())
-                         for b, _, _, lo, hi in _meet(rows)],
+                         for b, _, _, lo, hi, _ in meet(rows)],
                         columns=["block", "bucket", "answer"])
 
 
 def _references(rows: pd.DataFrame) -> pd.DataFrame:
     """Windows that occur in a smaller document, with the smallest id."""
     out, bucket = [], rows["bucket"].iat[0]
-    for b, keys, high, lo, _ in _meet(rows):
+    for b, keys, high, lo, _, _ in meet(rows):
         dup = lo < high
         if dup.any():
             out.append((b, bucket, pack_arrays(keys[dup], lo[dup])))
@@ -161,7 +125,7 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, gram: int = 5,
     def ask_anchors(batches):
         for block in each(batches):
             keys, ids = occurrences(block, distinct_anchors)
-            yield pd.DataFrame(_question(block["block"].iat[0], keys, ids, buckets, True),
+            yield pd.DataFrame(question(block["block"].iat[0], keys, ids, buckets),
                                columns=["bucket", "block", "asked"])
 
     def ask_windows(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -183,7 +147,7 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, gram: int = 5,
             return p.windows[shared[near] == a]
 
         keys, ids = occurrences(block, at_shared)
-        return pd.DataFrame(_question(block["block"].iat[0], keys, ids, buckets, False),
+        return pd.DataFrame(question(block["block"].iat[0], keys, ids, buckets),
                             columns=["bucket", "block", "asked"])
 
     def parse(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
