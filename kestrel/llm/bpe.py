@@ -28,10 +28,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.blocks import (BLOCK_BYTES, blocks, buckets_for, pack, text_bytes,
-                                unpack)
+from kestrel.llm.blocks import blocks, buckets_for, pack, text_bytes, unpack
 
 MARK = "\x1f"
+BLOCK_BYTES = 8 << 20        # a block's distinct words and ids stand in memory together
 #: A space that continues a run of white space and is not followed by a word:
 #: only there can a pre-token reach over a space.
 UNSAFE = re.compile(r"\s (?!\S)")
@@ -123,6 +123,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *,
         codes, distinct = _index(unpack(block["blob"].iat[0]), regex.compile(pattern))
         by_code: list = [b""] * len(distinct)
         at = _dealt(distinct, buckets)
+        del distinct
         for k, blob in zip(answers["bucket"], answers["ids"], strict=True):
             for i, ids in zip(at[k], unpack(blob), strict=True):
                 by_code[i] = ids
