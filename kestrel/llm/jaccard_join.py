@@ -33,7 +33,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.llm.blocks import (ANSWER, ASKED, BLOCK_BYTES, Hashes, blocks, buckets_for,
@@ -246,7 +246,7 @@ def _profiles(docs, n, threshold, id_col, text_col, block_bytes):
 
 
 def _tree_of(rows: pd.DataFrame) -> SignatureTree:
-    return SignatureTree(rows["rep"].tolist(),
+    return SignatureTree(rows["c"].tolist(),
                          [np.frombuffer(t, np.uint64) for t in rows["tokens"]])
 
 
@@ -265,43 +265,66 @@ def _part_links(threshold):
     return run
 
 
+def _cells(parts: DataFrame, threshold: int, piece_rows: int) -> DataFrame:
+    """(c, part, size) -> (c, part, i, j, piece, deal): the dual traversals
+    that a class takes part in. Narrow rows; the token sets join later."""
+    by_part, by_class = Window.partitionBy("part"), Window.partitionBy("part").orderBy("cls")
+    step = 1.0001 * float(np.log(100 / threshold))   # linked sizes differ by one class at most
+    p = parts.withColumn("cls", F.floor(F.log("size") / step).cast("int"))
+    stats = p.groupBy("part", "cls").agg(F.count(F.lit(1)).alias("n"))
+    stats = stats.withColumn("large", F.sum("n").over(by_part) > piece_rows)
+    k = F.ceil(F.col("n") / piece_rows).cast("int")
+
+    def beside(step_):
+        same = F.lag("cls", step_).over(by_class) == F.col("cls") - step_
+        return F.when(same, F.lag(k, step_).over(by_class)).otherwise(0)
+
+    stats = stats.select("part", "cls", "large", k.alias("k"), beside(1).alias("below"),
+                         beside(-1).alias("above"))
+
+    def pieces(cls, n):
+        names = F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1),
+                            lambda x: cls.cast("long") * (1 << 20) + x)
+        return F.when(n > 0, names).otherwise(F.array().cast("array<bigint>"))
+
+    c = F.col("cls")
+    others = F.concat(pieces(c - 1, F.col("below")), pieces(c, F.col("k")),
+                      pieces(c + 1, F.col("above")))
+    none = F.lit(0).cast("long")
+    own = c.cast("long") * (1 << 20) + F.pmod(F.xxhash64("c", "size"), F.col("k"))
+    p = p.join(stats, ["part", "cls"])
+    p = p.withColumn("piece", F.when(F.col("large"), own).otherwise(none))
+    p = p.withColumn("other", F.explode(F.when(F.col("large"), others).otherwise(F.array(none))))
+    i, j = F.least("piece", "other"), F.greatest("piece", "other")
+    # small parts share a group, traversals of large ones are groups of their own
+    deal = F.when(F.col("large"), F.xxhash64("part", i, j)).otherwise(
+        F.pmod(F.xxhash64("part"), F.lit(512)))
+    return p.select("c", "part", i.alias("i"), j.alias("j"), "piece", deal.alias("deal"))
+
+
 def jaccard_join(docs: DataFrame, *, n: int = 5, threshold: int = 80,
                  id_col: str = "doc_id", text_col: str = "text",
-                 piece_rows: int = 1500, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                 piece_rows: int = 6000, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per input row: id, n_shingles, component_id. Two documents link
     when 100 * overlap >= ``threshold`` * union of their n-word shingles."""
     prof = _profiles(docs, n, threshold, id_col, text_col, block_bytes)
-    reps = prof.where("size > 0").groupBy("class").agg(F.min("id").alias("rep"))
-    held = (prof.where("tokens IS NOT NULL").select("class", "size", "rare", "tokens")
-            .dropDuplicates(["class"]).join(reps, "class"))
-    held = materialize(held.select("rep", "size", "rare", "tokens"), "shingle-classes")
-    rare = held.select("rep", F.explode("rare").alias("token"))
-    low = rare.groupBy("token").agg(F.min("rep").alias("low"))
-    parts = components(rare.join(low, "token"), "rep", "low")
-    tokens = held.select("rep", "size", "tokens").join(
-        parts.select(F.col("node").alias("rep"), F.col("component").alias("part")), "rep")
-    sizes = parts.groupBy(F.col("component").alias("part")).agg(F.count(F.lit(1)).alias("rows"))
-    tokens = tokens.join(sizes, "part")
-    # a part of its own pieces: size class (linked sizes differ by one class at
-    # most) and a share of the class by hash
-    k = F.ceil(F.col("rows") / piece_rows).cast("int")
-    step = 1.0001 * float(np.log(100 / threshold))
-    cls = F.when(k > 1, F.floor(F.log("size") / step)).otherwise(F.lit(0)).cast("int")
-    share = F.pmod(F.xxhash64("rep", "size"), k).cast("int")
-    tokens = tokens.withColumn("k", k).withColumn("piece", cls * k + share)
-    other = F.sequence((cls - 1) * F.col("k"), (cls + 2) * F.col("k") - 1)
-    other = F.when(F.col("k") > 1, other).otherwise(F.array(F.lit(0)))
-    cells = tokens.withColumn("other", F.explode(other)).select(
-        "part", F.least("piece", "other").alias("i"), F.greatest("piece", "other").alias("j"),
-        "piece", "rep", "tokens", "k")
-    # small parts share a group, cells of large ones are groups of their own
-    deal = F.when(F.col("k") > 1, F.xxhash64("part", "i", "j")).otherwise(
-        F.pmod(F.xxhash64("part"), F.lit(512)))
-    found = (cells.withColumn("deal", deal).groupBy("deal")
-             .applyInPandas(_part_links(threshold), "a long, b long"))
-    joined = components(found, "a", "b")
-    classes = reps.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "class", F.coalesce("component", "rep").alias("component"))
-    return prof.select("id", "size", "class").join(classes, "class", "left").select(
+    prof = prof.withColumn("c", F.when(F.col("size") > 0, F.xxhash64("class")))
+    rare = prof.where("rare IS NOT NULL").select("c", F.explode("rare").alias("token"))
+    low = rare.groupBy("token").agg(F.min("c").alias("low"))
+    parts = components(rare.join(low, "token"), "c", "low")
+    sizes = prof.where("tokens IS NOT NULL").select("c", "size").distinct()
+    parts = sizes.join(parts.select(F.col("node").alias("c"), F.col("component").alias("part")),
+                       "c")
+    cells = _cells(materialize(parts, "parts"), threshold, piece_rows)
+    # the token sets travel to their class once, and then to its traversals
+    sets = (prof.where("tokens IS NOT NULL").select("c", "class", "tokens")
+            .repartition("c").dropDuplicates(["c", "class"]))
+    found = (cells.join(sets, "c").select("deal", "part", "i", "j", "piece", "c", "tokens")
+             .groupBy("deal").applyInPandas(_part_links(threshold), "a long, b long"))
+    joined = components(found, "a", "b").withColumnRenamed("node", "c")
+    d = prof.select("id", "size", "c").join(joined, "c", "left").withColumn(
+        "g", F.coalesce("component", "c"))
+    least = d.where("g IS NOT NULL").groupBy("g").agg(F.min("id").alias("least"))
+    return d.join(least, "g", "left").select(
         "id", F.col("size").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
+        F.when(F.col("id").isNotNull(), F.coalesce("least", "id")).alias("component_id"))
