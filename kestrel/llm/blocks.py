@@ -47,6 +47,10 @@ def unpack_arrays(blob: bytes, *kinds) -> list[np.ndarray]:
     return [np.frombuffer(x, k) for x, k in zip(unpack(blob), kinds, strict=True)]
 
 
+def whole_numbers(ids) -> list[int | None]:
+    return [None if i is None else int(i) for i in ids]
+
+
 def text_bytes(docs: DataFrame, text_col: str) -> int:
     return int(docs.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0)
 
@@ -58,18 +62,17 @@ def buckets_for(total_bytes: int) -> int:
 def blocks(docs: DataFrame, id_col: str, text_col: str, total_bytes: int,
            block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(block, ids, blob): documents in blocks of about ``block_bytes``, dealt
-    by block; null text is empty. The exchange is one that a plan which uses
-    the blocks several times runs once."""
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = d.schema["id"].dataType.simpleString()
+    by block; null text is empty. Ids travel as strings, so that a null among
+    them doesn't turn the others into floats. The exchange is one that a plan
+    which uses the blocks several times runs once."""
+    d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
 
     def gather(batches):
         number = itertools.count(TaskContext.get().partitionId() << 32)
         ids, texts, size = [], [], 0
         for b in batches:
-            missing = b["id"].isna()
-            for i, none, t in zip(b["id"], missing, b["text"], strict=True):
-                ids.append(None if none else i)
+            for i, t in zip(b["id"], b["text"], strict=True):
+                ids.append(i)
                 texts.append(t.encode("utf-8", "surrogatepass") if t else b"")
                 size += len(texts[-1])
                 if size >= block_bytes:
@@ -79,7 +82,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, total_bytes: int,
         if ids:
             yield pd.DataFrame({"block": [next(number)], "ids": [ids], "blob": [pack(texts)]})
 
-    out = d.mapInPandas(gather, f"block long, ids array<{kind}>, blob binary")
+    out = d.mapInPandas(gather, "block long, ids array<string>, blob binary")
     return out.repartition(max(8, -(-total_bytes // block_bytes)), "block")
 
 

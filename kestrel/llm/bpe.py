@@ -93,7 +93,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *,
     shared = spark.sparkContext.broadcast(ranks)
     narrow = "<u2" if max(ranks.values(), default=0) < 1 << 16 else "<u4"
     b = blocks(docs, id_col, text_col, total, block_bytes)
-    kind = b.schema["ids"].dataType.elementType.simpleString()
+    kind = docs.schema[id_col].dataType
 
     def ask(batches):
         pat = regex.compile(pattern)
@@ -144,7 +144,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *,
                .groupBy("bucket").applyInPandas(encode_bucket,
                                                 "block long, bucket int, ids binary"))
     return b.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        assemble, f"id {kind}, ids binary, n_tokens long")
+        assemble, "id string, ids binary, n_tokens long").withColumn(
+        "id", F.col("id").cast(kind))
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:

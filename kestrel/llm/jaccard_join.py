@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.blocks import (ANSWER, ASKED, BLOCK_BYTES, Hashes, blocks, buckets_for,
                                 by_bucket, meet, pack_arrays, question, shingles,
-                                text_bytes, unpack, unpack_arrays)
+                                text_bytes, unpack, unpack_arrays, whole_numbers)
 from kestrel.llm.components import components
 from kestrel.session import materialize
 
@@ -181,7 +181,8 @@ def _profiles(docs, n, threshold, id_col, text_col, block_bytes):
 
     def sets(block):
         hashes = Hashes()
-        for i, raw in zip(block["ids"].iat[0], unpack(block["blob"].iat[0]), strict=True):
+        ids = whole_numbers(block["ids"].iat[0])
+        for i, raw in zip(ids, unpack(block["blob"].iat[0]), strict=True):
             t = token_set(raw, hashes, n)
             yield i, t, xxhash.xxh3_128_digest(t.tobytes())
 

@@ -167,9 +167,10 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id",
             yield pd.DataFrame({"id": b["id"], "lang_pred": [g[0] for g in got],
                                 "score": [g[1] for g in got]})
 
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = d.schema["id"].dataType.simpleString()
-    return d.mapInPandas(run, f"id {kind}, lang_pred string, score double")
+    # ids travel as strings: a null would turn the others into floats
+    d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    return d.mapInPandas(run, "id string, lang_pred string, score double").withColumn(
+        "id", F.col("id").cast(docs.schema[id_col].dataType))
 
 
 def labelled(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:

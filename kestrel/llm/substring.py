@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 
 from kestrel.llm.blocks import (ANSWER, ASKED, BLOCK_BYTES, Hashes, blocks, buckets_for,
                                 by_bucket, meet, pack_arrays, question, shingles,
-                                text_bytes, unpack, unpack_arrays)
+                                text_bytes, unpack, unpack_arrays, whole_numbers)
 
 NONE = np.iinfo(np.int64).max
 
@@ -57,7 +57,8 @@ class Parsed:
 
 def _documents(block: pd.DataFrame, window: int, gram: int):
     hashes = Hashes()
-    for i, raw in zip(block["ids"].iat[0], unpack(block["blob"].iat[0]), strict=True):
+    ids = whole_numbers(block["ids"].iat[0])
+    for i, raw in zip(ids, unpack(block["blob"].iat[0]), strict=True):
         yield i, Parsed(raw, hashes, window, gram)
 
 

@@ -7,11 +7,11 @@ tokens so far). Neighbouring chunks are spliced at a boundary that both have
 proven: a place where both see the same stable border. A pair without one is
 encoded again with overlaps four times as wide, at last as one text.
 
-A stable border is the start of a run of white space (ASCII): the
+A stable border is the end of white space (ASCII) inside a chunk: the
 vocabulary's pre-tokens drop white space, its normaliser works within
 white-space-free runs, and its special strings hold none, so the tokens on
-one side don't depend on the other. The border at a chunk's own end is no
-proof, because the run may go on in the next chunk.
+one side don't depend on the other. A chunk's own start is no proof, because
+the run there may have begun in the chunk before.
 
 The same property lets a task remember the counts of the runs it has met
 (``Counter_``), so that the library encodes each distinct run once per task.
@@ -138,10 +138,12 @@ def count_tokens(docs: DataFrame, vocabulary: str, *, chunk_chars: int = 65_536,
     """(id, n_bytes, n_tokens) per row. ``vocabulary``: path of a tokenizers
     file whose pre-tokens drop white space, present on every executor."""
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = d.schema["id"].dataType.simpleString()
+    kind = docs.schema[id_col].dataType
     long = F.char_length("text") > chunk_chars
-    short = d.where(~F.coalesce(long, F.lit(False))).mapInPandas(
-        _whole(vocabulary), f"id {kind}, n_bytes long, n_tokens long")
+    # ids travel as strings: a null would turn the others into floats
+    short = (d.where(~F.coalesce(long, F.lit(False))).withColumn("id", F.col("id").cast("string"))
+             .mapInPandas(_whole(vocabulary), "id string, n_bytes long, n_tokens long")
+             .withColumn("id", F.col("id").cast(kind)))
     todo = d.where(long).withColumn("row", F.monotonically_increasing_id())
     if todo.isEmpty():
         return short

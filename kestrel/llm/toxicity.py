@@ -214,5 +214,7 @@ def score(docs: DataFrame, lexicon: Lexicon, *, id_col: str = "doc_id",
             yield pd.DataFrame({"id": b["id"], "score": [shared.value.score(t)
                                                          for t in b["text"]]})
 
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return d.mapInPandas(run, f"id {d.schema['id'].dataType.simpleString()}, score double")
+    # ids travel as strings: a null would turn the others into floats
+    d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    return d.mapInPandas(run, "id string, score double").withColumn(
+        "id", F.col("id").cast(docs.schema[id_col].dataType))
