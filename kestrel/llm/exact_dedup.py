@@ -60,8 +60,9 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
               .agg(F.sort_array(F.collect_list(F.struct("pos", "ordinal"))).alias("amend")))
     full = r.drop("digests").join(amends, "row", "left").withColumn(
         "amend", F.coalesce("amend", F.array().cast("array<struct<pos:int,ordinal:int>>")))
-    best = full.groupBy("ids", "amend").agg(
-        F.count(F.lit(1)).alias("group_size"), F.max(F.struct("id", "row")).alias("keep"))
+    best = materialize(full.groupBy("ids", "amend").agg(     # a table of its own: Spark can
+        F.count(F.lit(1)).alias("group_size"),               # split a hot recipe in the join
+        F.max(F.struct("id", "row")).alias("keep")), "recipe-groups")
     j = full.join(best, ["ids", "amend"])
     return j.select("row", "id", F.col("keep.id").alias("keep_id"), "group_size",
                     (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256")

@@ -325,7 +325,8 @@ def jaccard_join(docs: DataFrame, *, n: int = 5, threshold: int = 80,
     joined = components(found, "a", "b").withColumnRenamed("node", "c")
     d = prof.select("id", "size", "c").join(joined, "c", "left").withColumn(
         "g", F.coalesce("component", "c"))
-    least = d.where("g IS NOT NULL").groupBy("g").agg(F.min("id").alias("least"))
+    least = materialize(d.where("g IS NOT NULL").groupBy("g").agg(F.min("id").alias("least")),
+                        "least-ids")       # a table of its own: a hot class can be split
     return d.join(least, "g", "left").select(
         "id", F.col("size").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("least", "id")).alias("component_id"))
