@@ -31,12 +31,11 @@ def words(df: DataFrame, text: str = "text", pattern: str = WORD_SPLIT,
         out = df.select(F.explode(parts).alias("word")).where(F.col("word") != F.lit(""))
         return out.select(F.lower("word").alias("word")) if lower else out
     if empty_tokens == "java":
-        # Java keeps a leading empty token (text starting with a separator)
-        # unless the text is only separators, and "" splits to [""]; it
-        # drops trailing empties, which are the only other empty tokens
-        only_seps = F.col(text).rlike("^(?:" + pattern + ")$")
-        out = df.select(only_seps.alias("_s"), F.posexplode(parts).alias("_i", "word"))
-        out = out.where((F.col("word") != F.lit("")) | ((F.col("_i") == 0) & ~F.col("_s")))
+        # Java drops trailing empty tokens only, and "" splits to [""]
+        filled = F.array_position(F.transform(F.reverse(parts), lambda t: t != ""), True)
+        kept = F.when(filled > 0, F.slice(parts, 1, F.size(parts) - filled.cast("int") + 1))
+        kept = F.when(F.col(text) == "", parts).otherwise(kept)
+        out = df.select(F.explode(kept).alias("word"))
         return out.select((F.lower("word") if lower else F.col("word")).alias("word"))
     raise ValueError("empty_tokens must be 'drop' or 'java'")
 

@@ -8,7 +8,6 @@ output carries the key as the last sort column (deterministic ties, D1).
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +51,7 @@ def mean_by_key(df: DataFrame, key: str, value: str | Column, out: str = "avg_va
     v = _col(value)
     if mode == "truncate":
         s = df.groupBy(key).agg(F.sum(v.cast("long")).alias("_s"),
-                                F.count("*").alias("_n"))
+                                F.count(v).alias("_n"))
         return s.select(key, F.expr("_s div _n").alias(out))
     if mode == "exact":
         return df.groupBy(key).agg(F.avg(v).alias(out))
@@ -129,9 +128,8 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, value: str,
 def sql_range(df: DataFrame, column: str, lo, hi) -> DataFrame:
     """``SELECT * FROM view WHERE col >= lo AND col <= hi`` via ``spark.sql``.
 
-    The view name is unique per call so concurrent callers never collide.
+    Bounds are named arguments of any type; no view outlives the call.
     """
-    view = f"kestrel_v_{uuid.uuid4().hex[:10]}"
-    df.createOrReplaceTempView(view)
     return df.sparkSession.sql(
-        f"SELECT * FROM {view} WHERE `{column}` >= {lo!r} AND `{column}` <= {hi!r}")
+        f"SELECT * FROM {{rows}} WHERE `{column}` >= :lo AND `{column}` <= :hi",
+        args={"lo": lo, "hi": hi}, rows=df)

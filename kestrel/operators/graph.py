@@ -6,9 +6,9 @@ level: frontier ⋈ edges -> distinct neighbours -> anti-join visited. The
 frontier and visited set are DataFrames, never collected; only a row count
 reaches the driver per level (observed during the level's write job). Every level is written once as a table in
 the session's shared checkpoint folder (``materialize``), which cuts the
-lineage, so a lost executor recomputes at most one level. The frontier is broadcast only while
-its counted size is under ``broadcast_rows``; above that both sides shuffle
-(and AQE splits a skewed hub's partition).
+lineage, so a lost executor recomputes at most one level. Levels are written
+tables with exact sizes, so Spark's own size threshold decides which joins
+broadcast (and AQE splits a skewed hub's partition).
 """
 
 from __future__ import annotations
@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 
 from kestrel.session import materialize, materialize_counted
 
-BROADCAST_ROWS = 2_000_000
-
 
 def _ends(edges: DataFrame) -> DataFrame:
     """Both ends of every edge as ``id`` rows, from one scan of the edges."""
@@ -71,7 +69,7 @@ def most_connected(line_counts: DataFrame, names: DataFrame) -> DataFrame:
 
 # --- level loop ---------------------------------------------------------------
 
-def _bfs(edges: DataFrame, root, max_hops: int | None, broadcast_rows: int,
+def _bfs(edges: DataFrame, root, max_hops: int | None,
          on_level=None, watch=None):
     """Expand levels from ``root``; yield (level, frontier, size, found)
     after each expansion, where ``frontier`` (column ``id``) holds the
@@ -84,17 +82,12 @@ def _bfs(edges: DataFrame, root, max_hops: int | None, broadcast_rows: int,
     spark = edges.sparkSession
     e = materialize(edges.select("src", "dst").distinct(), "bfs-edges")
     frontier = spark.range(1).select(F.lit(root).cast("long").alias("id"))
-    size, level, seen, n_seen = 1, 0, [frontier], 1
+    size, level, seen = 1, 0, [frontier]
     while size and (max_hops is None or level < max_hops):
         if on_level is not None and on_level(level, frontier, size):
             return
-        # sizes are counted, so each broadcast below is behind a checked bound
-        f = F.broadcast(frontier) if size <= broadcast_rows else frontier
-        cand = e.join(f, e.src == f.id).select(F.col("dst").alias("id")).distinct()
-        visited = reduce(DataFrame.unionAll, seen)
-        if n_seen <= broadcast_rows:
-            visited = F.broadcast(visited)
-        nxt = cand.join(visited, "id", "left_anti")
+        cand = e.join(frontier, e.src == frontier.id).select(F.col("dst").alias("id")).distinct()
+        nxt = cand.join(reduce(DataFrame.unionAll, seen), "id", "left_anti")
         if watch is None:
             frontier, size = materialize_counted(nxt, f"bfs-level{level + 1}")
             found = False
@@ -105,34 +98,31 @@ def _bfs(edges: DataFrame, root, max_hops: int | None, broadcast_rows: int,
             found = bool(m["hit"])
         level += 1
         seen.append(frontier)
-        n_seen += size
         yield level, frontier, size, found
         if found:
             return
 
 
-def hop_levels(edges: DataFrame, root, max_hops: int | None = 10,
-               broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def hop_levels(edges: DataFrame, root, max_hops: int | None = 10) -> DataFrame:
     """(id, level) for every vertex reachable from ``root`` within ``max_hops``."""
     spark = edges.sparkSession
     parts = [spark.range(1).select(F.lit(root).cast("long").alias("id"),
                                    F.lit(0).alias("level"))]
-    for level, frontier, size, _ in _bfs(edges, root, max_hops, broadcast_rows):
+    for level, frontier, size, _ in _bfs(edges, root, max_hops):
         if size:
             parts.append(frontier.select("id", F.lit(level).alias("level")))
     return reduce(DataFrame.unionAll, parts)
 
 
 def hop_distances(edges: DataFrame, root, max_hops: int | None = 10,
-                  vertex_ids: DataFrame | None = None,
-                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                  vertex_ids: DataFrame | None = None) -> DataFrame:
     """(id, distance double) for every vertex; ``Infinity`` when not
     reached within ``max_hops`` directed hops (the Pregel cap, D7e).
 
     ``vertex_ids`` (column ``id``) is the vertex set; by default every edge
     end plus the root.
     """
-    lv = hop_levels(edges, root, max_hops, broadcast_rows)
+    lv = hop_levels(edges, root, max_hops)
     if vertex_ids is None:
         vertex_ids = (_ends(edges)
                       .union(edges.sparkSession.range(1).select(F.lit(root).cast("long").alias("id")))
@@ -142,8 +132,7 @@ def hop_distances(edges: DataFrame, root, max_hops: int | None = 10,
 
 
 def nearest(edges: DataFrame, root, k: int, max_hops: int | None = 10,
-            vertex_ids: DataFrame | None = None,
-            broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+            vertex_ids: DataFrame | None = None) -> DataFrame:
     """The k vertices nearest to ``root``, ordered by (distance, id),
     as ``hop_distances(...).orderBy("distance", "id").limit(k)`` returns
     them, but the level loop stops once k vertices are reached: every vertex
@@ -156,7 +145,7 @@ def nearest(edges: DataFrame, root, k: int, max_hops: int | None = 10,
         return level >= 1 and state["seen"] >= k
 
     parts = [spark.range(1).select(F.lit(root).cast("long").alias("id"), F.lit(0).alias("level"))]
-    for level, frontier, size, _ in _bfs(edges, root, max_hops, broadcast_rows, on_level=enough):
+    for level, frontier, size, _ in _bfs(edges, root, max_hops, on_level=enough):
         state["seen"] += size
         if size:
             parts.append(frontier.select("id", F.lit(level).alias("level")))
@@ -173,8 +162,7 @@ def nearest(edges: DataFrame, root, k: int, max_hops: int | None = 10,
 
 
 def hop_distance_to(edges: DataFrame, root, target, max_hops: int | None = 10,
-                    vertex_ids: DataFrame | None = None,
-                    broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                    vertex_ids: DataFrame | None = None) -> DataFrame:
     """(id, distance) of one vertex, the value ``hop_distances`` gives
     it, but the level loop stops at the level that first reaches ``target``.
     No row when ``target`` is not a vertex (a filter on the vertex set, as
@@ -182,7 +170,7 @@ def hop_distance_to(edges: DataFrame, root, target, max_hops: int | None = 10,
     spark = edges.sparkSession
     dist = 0.0 if root == target else float("inf")
     if root != target:
-        for level, _, _, found in _bfs(edges, root, max_hops, broadcast_rows, watch=target):
+        for level, _, _, found in _bfs(edges, root, max_hops, watch=target):
             if found:
                 dist = float(level)
     if vertex_ids is None:
@@ -192,8 +180,7 @@ def hop_distance_to(edges: DataFrame, root, target, max_hops: int | None = 10,
     return one.select("id", F.lit(dist).alias("distance"))
 
 
-def degrees_of_separation(edges: DataFrame, start, target, max_hops: int | None = None,
-                          broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def degrees_of_separation(edges: DataFrame, start, target, max_hops: int | None = None) -> DataFrame:
     """One row (start, target, degree, hits).
 
     Levels expand from ``start``; before the level-d frontier is expanded,
@@ -210,14 +197,13 @@ def degrees_of_separation(edges: DataFrame, start, target, max_hops: int | None
     found = {}
 
     def probe(level, frontier, size):
-        f = F.broadcast(frontier) if size <= broadcast_rows else frontier
-        hits = into.join(f, into.src == f.id).agg(F.sum("_h")).first()[0]
+        hits = into.join(frontier, into.src == frontier.id).agg(F.sum("_h")).first()[0]
         if hits:
             found["degree"], found["hits"] = level + 1, int(hits)
             return True
         return max_hops is not None and level + 1 >= max_hops
 
-    for _ in _bfs(edges, start, None, broadcast_rows, on_level=probe):
+    for _ in _bfs(edges, start, None, on_level=probe):
         pass
     return spark.createDataFrame(
         [(int(start), int(target), found.get("degree"), found.get("hits", 0))],

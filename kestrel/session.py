@@ -45,9 +45,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
     Read from the session (``spark.checkpoint.dir`` or an explicit
-    ``setCheckpointDir``). Only a local-mode session with nothing configured
-    gets a fresh temporary folder, as tests do; a cluster session without a
-    configured shared folder is an error, never a machine-local path.
+    ``setCheckpointDir``). Only a local-mode session (one process)
+    with nothing configured gets a fresh temporary folder, as tests do; a
+    cluster session, local-cluster included, without a configured shared
+    folder is an error, never a machine-local path.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,7 +59,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="kestrel-ckpt-"))
         return sc.getCheckpointDir()
     raise RuntimeError(

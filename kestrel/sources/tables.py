@@ -44,7 +44,8 @@ def vertex_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graph_edges(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFrame:
-    """Directed multigraph: customer -> (order key mod #customers), no self-loops.
+    """Directed multigraph: customer -> (order key mod #customers); edges as
+    listed, self-loops included.
 
     The modulus is a scalar subquery over ``customer``; Spark runs it as one
     small aggregate job and inlines the value.
@@ -53,8 +54,7 @@ def graph_edges(spark: SparkSession, sf_dir: str, with_id: bool = False) -> Data
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     dst = F.col("o_orderkey") % n
     keep = [F.col("o_orderkey").alias("eid")] if with_id else []
-    return (o.where(F.col("o_custkey") != dst)
-            .select(F.col("o_custkey").alias("src"), dst.alias("dst"), *keep))
+    return o.select(F.col("o_custkey").alias("src"), dst.alias("dst"), *keep)
 
 
 def tag_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

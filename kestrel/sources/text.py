@@ -39,12 +39,19 @@ def _check_mode(mode: str) -> str:
 
 
 def _field(parts: Column, i: int, mode: str) -> Column:
-    # strict index raises on a short row (ANSI); get() yields NULL
-    return parts[i] if mode == "FAILFAST" else F.get(parts, i)
+    if mode != "FAILFAST":
+        return F.get(parts, i)
+    return F.when(F.size(parts) > i, F.get(parts, i)).otherwise(
+        F.raise_error(F.lit(f"malformed line: no field {i}")).cast("string"))
 
 
 def _cast(c: Column, typ: str, mode: str) -> Column:
-    return c.cast(typ) if mode == "FAILFAST" else c.try_cast(typ)
+    got = c.try_cast(typ)
+    if mode != "FAILFAST":
+        return got
+    # raised here, whatever the session's ANSI setting
+    return F.when(c.isNull() | got.isNotNull(), got).otherwise(F.raise_error(
+        F.concat(F.lit(f"malformed {typ}: "), c)).cast(typ))
 
 
 def parse_fields(lines: DataFrame, sep: str, fields: list[tuple[str, int, str]],
@@ -103,7 +110,9 @@ def parse_titles(lines: DataFrame, trim: bool = False, mode: str = "FAILFAST",
     (the row with the largest ``ordinal`` wins, e.g. the file position).
     """
     mode = _check_mode(mode)
-    parts = F.split(F.make_valid_utf8(F.col("value")), _literal("|"))
+    # Java's split has no trailing empty fields: "5|" has one field
+    value = F.regexp_replace(F.make_valid_utf8(F.col("value")), r"\|+$", "")
+    parts = F.split(value, _literal("|"))
     title = parts[1]
     if trim:
         title = F.trim(title)
@@ -138,7 +147,8 @@ def parse_quoted_names(lines: DataFrame, max_id: int | None = None,
     ``max_id`` keeps ids strictly below it (S9's cut-off of dummy rows).
     """
     mode = _check_mode(mode)
-    parts = F.split(F.col("value"), _literal('"'))
+    # Java's split has no trailing empty fields
+    parts = F.split(F.regexp_replace("value", '"+$', ""), _literal('"'))
     out = (lines.where(F.size(parts) > 1)
            .select(_cast(F.trim(parts[0]), "long", mode).alias("id"),
                    parts[1].alias("name")))

@@ -18,7 +18,7 @@ the checkpoint location.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.text import hashtags
@@ -92,14 +92,17 @@ def _from_micros(us: F.Column, ntz: bool) -> F.Column:
 
 
 def top_tags(counts: DataFrame, k: int = TOP) -> DataFrame:
-    """The k largest window counts (ties: newest window, then tag)."""
-    return counts.orderBy(F.desc("cnt"), F.desc("window_start"), F.asc("tag")).limit(k)
+    """The k largest tags of every window (ties: by tag)."""
+    rank = F.row_number().over(
+        Window.partitionBy("window_start").orderBy(F.desc("cnt"), F.asc("tag")))
+    return counts.withColumn("_r", rank).where(F.col("_r") <= k).drop("_r")
 
 
 def stream_window_counts(stream: DataFrame, text: str = "text", ts: str = "ts",
-                         length: str = WINDOW, slide: str = SLIDE,
-                         watermark: str = "10 minutes") -> DataFrame:
-    """T2+T3 (stream): the windowed count as a streaming DataFrame."""
+                         length: str = WINDOW, slide: str = SLIDE, *,
+                         watermark: str) -> DataFrame:
+    """T2+T3 (stream): the windowed count as a streaming DataFrame. Events
+    later than ``watermark`` are dropped, so the caller must choose it."""
     tags = hashtags(stream, text, ts).select(_as_instant(ts).alias("_t"), "tag")
     return (tags.withWatermark("_t", watermark)
             .groupBy(F.window("_t", length, slide).alias("w"), "tag")
@@ -108,15 +111,17 @@ def stream_window_counts(stream: DataFrame, text: str = "text", ts: str = "ts",
 
 def run_trending_stream(stream: DataFrame, out_dir: str, checkpoint: str,
                         text: str = "text", ts: str = "ts", length: str = WINDOW,
-                        slide: str = SLIDE, watermark: str = "10 minutes",
-                        trigger: dict | None = None, top_dir: str | None = None):
+                        slide: str = SLIDE, *, watermark: str,
+                        trigger: dict | None = None, top_dir: str | None = None,
+                        top: int = TOP):
     """Start the streaming query; returns the ``StreamingQuery``.
 
     ``trigger`` defaults to ``{"processingTime": "1 second"}`` (the
     reference's batch interval); tests pass ``{"availableNow": True}``.
-    When ``top_dir`` is set, each micro-batch also writes its top 10.
+    When ``top_dir`` is set, each micro-batch also writes the ``top`` largest
+    tags of every window that it changed.
     """
-    counts = stream_window_counts(stream, text, ts, length, slide, watermark)
+    counts = stream_window_counts(stream, text, ts, length, slide, watermark=watermark)
     typ = "timestamp_ntz" if dict(stream.dtypes)[ts] == "timestamp_ntz" else "timestamp"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -128,9 +133,14 @@ def run_trending_stream(stream: DataFrame, out_dir: str, checkpoint: str,
         path = f"{out_dir}/batch={batch_id}"
         rows.write.mode("overwrite").parquet(path)
         if top_dir:
-            # from the folder just written: the micro-batch is not re-run
-            written = batch.sparkSession.read.schema(rows.schema).parquet(path)
-            top_tags(written).write.mode("overwrite").parquet(f"{top_dir}/batch={batch_id}")
+            # from the folders written: the micro-batch is not run again, and
+            # tags that this batch did not change keep their earlier counts
+            spark = batch.sparkSession
+            changed = spark.read.schema(rows.schema).parquet(path).select("window_start").distinct()
+            table = read_trending_table(spark, out_dir, rows.schema)
+            ranked = top_tags(table.join(changed, "window_start", "left_semi"), top)
+            ranked.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode(
+                "overwrite").parquet(f"{top_dir}/batch={batch_id}")
 
     w = (counts.writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint)
@@ -139,8 +149,16 @@ def run_trending_stream(stream: DataFrame, out_dir: str, checkpoint: str,
     return w.start()
 
 
-def read_trending_table(spark: SparkSession, out_dir: str) -> DataFrame:
+def read_trending_table(spark: SparkSession, out_dir: str, schema=None) -> DataFrame:
     """The current windowed counts: the latest written row per (window, tag)."""
-    raw = spark.read.parquet(out_dir)
-    return raw.groupBy("window_start", "window_end", "tag").agg(
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(out_dir).groupBy("window_start", "window_end", "tag").agg(
         F.max_by("cnt", "batch_id").alias("cnt"))
+
+
+def read_top_table(spark: SparkSession, top_dir: str) -> DataFrame:
+    """The current ranking of every window: the last one written."""
+    raw = spark.read.parquet(top_dir)
+    last = raw.groupBy("window_start").agg(F.max("batch_id").alias("batch_id"))
+    return raw.join(last, ["window_start", "batch_id"], "left_semi").select(
+        "window_start", "window_end", "tag", "cnt")

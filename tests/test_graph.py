@@ -73,11 +73,23 @@ def test_degrees_of_separation(spark):
     assert (r.degree, r.hits) == (None, 0)
 
 
+def test_search_goes_on_past_ten_levels_and_keeps_self_loops(spark):
+    e = _edges(spark, [(i, i + 1) for i in range(14)] + [(3, 3)])
+    r = graph.degrees_of_separation(e, 0, 13).first()
+    assert (r.degree, r.hits) == (13, 1)
+    assert {x.id: x.degree for x in graph.degrees(e).collect()}[3] == 4
+
+
 def test_frontier_broadcast_and_shuffle_agree(spark):
     pairs = [(i, (i * 7 + 3) % 50) for i in range(50)] + [(i, (i * 11 + 1) % 50) for i in range(50)]
     e = _edges(spark, pairs)
     a = sorted(tuple(r) for r in graph.hop_distances(e, 0, 10).collect())
-    b = sorted(tuple(r) for r in graph.hop_distances(e, 0, 10, broadcast_rows=0).collect())
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = sorted(tuple(r) for r in graph.hop_distances(e, 0, 10).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
     assert a == b
 
 

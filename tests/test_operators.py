@@ -101,14 +101,14 @@ def test_collection_functions(spark):
 def test_match_and_map_lookup(spark):
     df = spark.createDataFrame([(1,), (3,), (9,)], "n int")
     lab = [r.l for r in df.orderBy("n").select(
-        A.match_label(F.col("n"), {1: "One", 2: "Two", 3: "Three"}, "Something else").alias("l")).collect()]
-    assert lab == ["One", "Three", "Something else"]
-    m = A.literal_map({"Kirk": "Enterprise", "Janeway": "Voyager"})
-    keys = spark.createDataFrame([("Janeway",), ("Archer",)], "k string")
-    got = {r.k: (r.has, r.ship) for r in keys.select(
+        A.match_label(F.col("n"), {1: "low", 2: "mid", 3: "high"}, "none of them").alias("l")).collect()]
+    assert lab == ["low", "high", "none of them"]
+    m = A.literal_map({"plum": "stone", "pear": "core"})
+    keys = spark.createDataFrame([("pear",), ("fig",)], "k string")
+    got = {r.k: (r.has, r.inside) for r in keys.select(
         "k", F.map_contains_key(m, F.col("k")).alias("has"),
-        A.lookup_or(m, F.col("k"), "Unknown").alias("ship")).collect()}
-    assert got == {"Janeway": (True, "Voyager"), "Archer": (False, "Unknown")}
+        A.lookup_or(m, F.col("k"), "none").alias("inside")).collect()}
+    assert got == {"pear": (True, "core"), "fig": (False, "none")}
 
 
 def _java_split(s):
@@ -140,3 +140,27 @@ def test_java_split_rules_on_random_text(spark):
     # and words() yields exactly these tokens (lower-cased) as a multiset
     expect = sorted(w.lower() for t in texts for w in _java_split(t))
     assert sorted(r.word for r in T.words(df, empty_tokens="java").collect()) == expect
+
+
+def test_mean_counts_values_only(spark):
+    df = spark.createDataFrame([("a", 10), ("a", None)], "k string, v int")
+    for mode in ("truncate", "exact"):
+        assert basic.mean_by_key(df, "k", "v", mode=mode).first().avg_value == 10
+
+
+def test_range_takes_dates_and_leaves_no_view(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.date(2024, 1, i),) for i in range(1, 6)], "day date")
+    got = basic.sql_range(df, "day", dt.date(2024, 1, 2), dt.date(2024, 1, 3)).collect()
+    assert len(got) == 2 and not spark.catalog.listTables()
+
+
+@pytest.mark.parametrize("key,order", [
+    ("count_by_key", ["age"]), ("rating_histogram", ["rating"]),
+    ("spend_by_customer", ["total", "customer_id"]), ("item_popularity", ["cnt", "item_id"]),
+    ("exact_avg_by_key", ["user_id"]), ("min_reading_by_station", ["station"])])
+def test_results_come_sorted(spark, key, order):
+    from kestrel.plans import catalog
+    rows = [tuple(r[c] for c in order)
+            for r in catalog.QUERIES[key](spark, "/root/testdata/sf0.001").collect()]
+    assert len(rows) > 3 and rows == sorted(rows)

@@ -4,12 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from kestrel.plans import catalog
 from kestrel.sources.tables import TABLES
 from tools.oracle_check import compare
 
 from .conftest import SF_SMALL
 
-KEYS = sorted(E.queries())
+KEYS = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -21,8 +22,9 @@ def con():
 
 
 def test_every_query_has_sql_or_is_rows_only():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(catalog.QUERIES) - set(catalog.ORACLE)
     assert missing == {"als_recommend"}
+    assert set(catalog.QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)

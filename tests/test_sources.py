@@ -141,3 +141,28 @@ def test_file_readers_for_line_formats(spark, tmp_dir):
     with open(graph, "w") as f:
         f.write("1 2 3\n2 1\n")
     assert sorted(tuple(r) for r in src.read_adjacency(spark, graph).collect()) == [(1, 2), (1, 3), (2, 1)]
+
+
+def test_trailing_empty_fields_are_no_fields(spark):
+    t = src.parse_titles(lines(spark, ["5|", "6||", "7|x||", "8||y"])).collect()
+    assert [tuple(r) for r in t] == [(7, "x"), (8, "")]
+    n = src.parse_quoted_names(lines(spark, ['5 "', '6 "Ann"', '7 ""'])).collect()
+    assert [tuple(r) for r in n] == [(6, "Ann")]
+
+
+def test_failfast_raises_without_ansi(spark):
+    held = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for bad in ("1,Ann", "1,Ann,old,3"):
+            with pytest.raises(Exception, match="malformed"):
+                src.parse_people(lines(spark, [bad])).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", held)
+
+
+def test_java_split_of_any_pattern(spark):
+    from kestrel.functions.text import words
+    for text, want in ((",,", []), ("a,,b", ["a", "", "b"]), (",a,", ["", "a"]), ("", [""])):
+        got = words(lines(spark, [text]), "value", pattern=",", empty_tokens="java").collect()
+        assert [r.word for r in got] == want

@@ -56,14 +56,41 @@ def test_stream_equals_batch(spark, tmp_dir):
     stream = spark.readStream.schema(df.schema).parquet(src_dir)
     out = os.path.join(tmp_dir, "out")
     q = tags.run_trending_stream(stream, out, os.path.join(tmp_dir, "ck"),
-                                 trigger={"availableNow": True},
-                                 top_dir=os.path.join(tmp_dir, "top"))
+                                 watermark="1 day", trigger={"availableNow": True},
+                                 top_dir=os.path.join(tmp_dir, "top"), top=2)
     q.awaitTermination()
     s = sorted(tuple(r) for r in tags.read_trending_table(spark, out).collect())
     b = sorted(tuple(r) for r in tags.window_tag_counts(df).collect())
     assert s == b
-    top = spark.read.parquet(os.path.join(tmp_dir, "top")).collect()
-    assert 0 < len(top) <= 10
+    top = sorted(tuple(r) for r in tags.read_top_table(spark, os.path.join(tmp_dir, "top")).collect())
+    assert top == sorted(tuple(r) for r in tags.top_tags(tags.window_tag_counts(df), 2).collect())
+
+
+def test_top_tags_rank_every_window_over_micro_batches(spark, tmp_dir):
+    """Two files, one micro-batch each: the second changes one tag of the
+    first's windows; the others keep their counts in the ranking."""
+    at = dt.datetime(2024, 1, 1, 12, 0, 3)
+    schema = "ts timestamp_ntz, text string"
+    src, out, top = (os.path.join(tmp_dir, x) for x in ("in", "out", "top"))
+    files = [[(at, "#big")] * 5 + [(at, "#mid")] * 3 + [(at, "#low")], [(at, "#low")] * 3]
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        tags.run_trending_stream(stream, out, os.path.join(tmp_dir, "ck"), watermark="1 day",
+                                 trigger={"availableNow": True}, top_dir=top,
+                                 top=2).awaitTermination()
+    want = tags.top_tags(tags.window_tag_counts(spark.read.parquet(src)), 2).collect()
+    assert len(want) == 60 and {(r.tag, r.cnt) for r in want} == {("#big", 5), ("#low", 4)}
+    got = tags.read_top_table(spark, top).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_events_table_of_several_files_streams_like_the_batch(spark, tmp_dir):
+    from kestrel.plans import catalog
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.repartition(3).write.parquet(os.path.join(tmp_dir, "events.parquet"))
+    s = sorted(map(tuple, catalog.stream_trending_tags(spark, tmp_dir).collect()))
+    assert s == sorted(map(tuple, catalog.window_trending_tags(spark, tmp_dir).collect()))
 
 
 def test_ridge_is_the_exact_penalised_solution(spark):
