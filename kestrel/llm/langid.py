@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -89,36 +90,45 @@ class Model:
                 return sum(found) / len(found)
         return np.zeros(len(self.langs))
 
-    def predict(self, texts):
-        class Rows(dict):
-            def __missing__(cache, word):       # noqa: N805
-                if len(rows) >= CACHE:
-                    raise OverflowError
-                rows.append(self.vector(word))
-                cache[word] = len(rows) - 1
-                return cache[word]
-
-        rows, index, table = [], Rows(), np.zeros((0, len(self.langs)))
+    def predict(self, texts, memory: "Memory | None" = None):
+        """(language, score) per text; ``memory`` serves several calls."""
+        memory = Memory(self) if memory is None else memory
         for text in texts:
             words = LETTERS.findall(text.lower()) if text else []
             if not self.langs or not any(c.isalpha() for w in words for c in w):
                 yield "und", 0.0
                 continue
             try:
-                at = [index[w] for w in words]
-                if len(rows) > len(table):
-                    table = np.vstack([table, np.array(rows[len(table):])])
-                total = table[at].sum(axis=0)
+                at = [memory[w] for w in words]
+                total = memory.table[at].sum(axis=0)
             except OverflowError:               # start the memory afresh
                 total = sum(n * self.vector(w) for w, n in Counter(words).items())
-                rows, table = [], np.zeros((0, len(self.langs)))
-                index.clear()
+                memory.clear()
             z = total / len(words) * min(len(words), 40)
             p = np.exp(z - z.max())
             best = int(p.argmax())
             yield self.langs[best], float(p[best] / p.sum())
 
 
+class Memory(dict):
+    """Word -> row of ``table``, scored when first met; the table doubles when
+    it is full, so growing it costs a constant per word."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model, self.table = model, np.empty((1024, len(model.langs)))
+
+    def __missing__(self, word):
+        at = len(self)
+        if at >= CACHE:
+            raise OverflowError
+        if at == len(self.table):
+            self.table = np.vstack([self.table, np.empty_like(self.table)])
+        self.table[at] = self.model.vector(word)
+        self[word] = at
+        return at
+
+
 def fit(docs: DataFrame, *, train_rows: int = 4000, max_words: int = 60_000,
         max_grams: int = 60_000, min_count: int = 2, id_col: str = "doc_id",
         text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -162,8 +172,9 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id",
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        memory = Memory(shared.value)
         for b in batches:
-            got = list(shared.value.predict(b["text"]))
+            got = list(shared.value.predict(b["text"], memory))
             yield pd.DataFrame({"id": b["id"], "lang_pred": [g[0] for g in got],
                                 "score": [g[1] for g in got]})
 
@@ -178,7 +189,10 @@ def labelled(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFr
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<lang_pred string, score double>")
-    def guess(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(list(shared.value.predict(text)), columns=["lang_pred", "score"])
+    def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        memory = Memory(shared.value)
+        for text in batches:
+            yield pd.DataFrame(list(shared.value.predict(text, memory)),
+                               columns=["lang_pred", "score"])
 
     return docs.withColumn("__lang", guess(F.col(text_col)))
