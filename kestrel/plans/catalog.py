@@ -576,8 +576,11 @@ def ridge_predict(spark, d):
                     "label")
 
 
-@query("holdout_split", """
-  SELECT l_orderkey, l_linenumber, l_orderkey % 2 < 1 AS train FROM lineitem""")
+_TRAIN_SQL = "substr(md5('42-' || CAST(l_orderkey AS VARCHAR)), 1, 8) < '80000000'"
+
+
+@query("holdout_split", f"""
+  SELECT l_orderkey, l_linenumber, {_TRAIN_SQL} AS train FROM lineitem""")
 def holdout_split(spark, d):
     """M5: every line flagged train/test by the deterministic split rule."""
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
@@ -586,16 +589,17 @@ def holdout_split(spark, d):
 
 def _enet(spark, d):
     li = _t(spark, d, "lineitem")
-    df = li.select("l_orderkey", (2 * F.col("l_quantity") + F.col("l_linenumber")).alias("label"),
+    df = li.select("l_orderkey", "l_linenumber",
+                   (2 * F.col("l_quantity") + F.col("l_linenumber")).alias("label"),
                    F.col("l_quantity").alias("x"))
     data = ml.assemble(df, ["x"])
     tr, te = ml.split_by_key(data, "l_orderkey")
     return ml.elastic_net_fit(tr), tr, te
 
 
-_ENET_SQL = """
+_ENET_SQL = f"""
   WITH t AS (SELECT 2 * l_quantity + l_linenumber AS y, l_quantity AS x
-             FROM lineitem WHERE l_orderkey % 2 < 1),
+             FROM lineitem WHERE {_TRAIN_SQL}),
   s AS (SELECT corr(x, y) AS r, stddev_samp(y) AS sy, stddev_samp(x) AS sx,
                avg(x) AS mx, avg(y) AS my, count(*) AS n FROM t),
   m AS (SELECT *, sign(r) * greatest(abs(r) - 0.8 * (0.3 / sy), 0) / (1 + 0.2 * (0.3 / sy))
@@ -613,19 +617,16 @@ def elastic_net_fit(spark, d):
                                  F.lit(n).cast("long").alias("n_train"))
 
 
-@query("elastic_net_predict", _ENET_SQL + """,
-  te AS (SELECT 2 * l_quantity + l_linenumber AS label, l_quantity AS x
-         FROM lineitem WHERE l_orderkey % 2 >= 1)
-  SELECT count(*) AS n_test, round(avg(w * te.x + (my - w * mx)), 3) AS mean_prediction,
-         round(avg(te.label), 3) AS mean_label
-  FROM te, m GROUP BY w, my, mx""")
+@query("elastic_net_predict", _ENET_SQL + f"""
+  SELECT l_orderkey, l_linenumber, round(w * l_quantity + (my - w * mx), 2) AS prediction,
+         2 * l_quantity + l_linenumber AS label
+  FROM lineitem, m WHERE NOT ({_TRAIN_SQL})""")
 def elastic_net_predict(spark, d):
-    """M7: prediction summary on the test half (3 decimals)."""
+    """M7: prediction (2 decimals) next to the label for every test line."""
     m, _, te = _enet(spark, d)
-    p = ml.predict(m, te)
-    return p.agg(F.count("*").alias("n_test"),
-                 F.round(F.avg("prediction"), 3).alias("mean_prediction"),
-                 F.round(F.avg("label"), 3).alias("mean_label"))
+    p = ml.predict(m, te, keep=["l_orderkey", "l_linenumber"])
+    return p.select("l_orderkey", "l_linenumber", F.round("prediction", 2).alias("prediction"),
+                    "label")
 
 
 # --- windows and streams -----------------------------------------------------------
@@ -727,14 +728,15 @@ def text_functions(spark, d):
 
 
 @query("case_label", """
-  SELECT p_partkey, CASE p_size WHEN 1 THEN 'One' WHEN 2 THEN 'Two' WHEN 3 THEN 'Three'
-                    ELSE 'Something else' END AS size_label
+  SELECT p_partkey, CASE p_size WHEN 5 THEN 'small' WHEN 10 THEN 'medium' WHEN 25 THEN 'large'
+                    ELSE 'unsorted' END AS size_label
   FROM part""")
 def case_label(spark, d):
     """value match with a default."""
     p = _t(spark, d, "part")
-    return p.select("p_partkey", A.match_label(F.col("p_size"), {1: "One", 2: "Two", 3: "Three"},
-                                               "Something else").alias("size_label"))
+    labels = {5: "small", 10: "medium", 25: "large"}
+    return p.select("p_partkey",
+                    A.match_label(F.col("p_size"), labels, "unsorted").alias("size_label"))
 
 
 @query("array_functions", """

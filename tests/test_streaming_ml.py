@@ -126,6 +126,17 @@ def test_als_recommend_shape_and_repeatability(spark):
     assert [r.rank for r in ranked] == [1, 2, 3, 4, 5]
     assert all(x.rating >= y.rating for x, y in zip(ranked, ranked[1:]))
     assert len({r.item_id for r in ranked}) == 5
+    assert "CartesianProduct" not in a._jdf.queryExecution().toString()
+    assert ml.als_recommend(df, 99, k=5, max_iter=2).count() == 0     # no ratings, no rows
+
+
+def test_hash_split_follows_its_fraction_and_seed(spark):
+    df = spark.range(4000).withColumnRenamed("id", "k")
+    tr, te = ml.split_by_key(df, "k", 0.8)
+    assert 3050 < tr.count() < 3350 and tr.count() + te.count() == 4000
+    other, _ = ml.split_by_key(df, "k", 0.8, seed=7)
+    assert other.join(tr, "k").count() < tr.count()
+    assert ml.split_by_key(df, "k", 1.0)[0].count() == 4000
 
 
 def test_stream_restarts_from_checkpoint(spark, tmp_dir):
