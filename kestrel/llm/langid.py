@@ -22,12 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 4
-CACHE = 400_000          # scored words that a task remembers
+CACHE = 200_000          # scored words that a task remembers
 
 
 def crc_mod(id_col: Column, n: int) -> Column:
@@ -63,7 +64,8 @@ def _count_grams(batches):
 
 
 class Model:
-    """Log-frequency vectors of known words and n-grams."""
+    """Log frequencies of known words and n-grams: per kind a row number for
+    each key, and one matrix (rows x languages)."""
 
     def __init__(self, langs, words, gram_counts):
         self.langs = sorted(langs)
@@ -76,18 +78,23 @@ class Model:
             for l, n in c.items():
                 total[l] += n
         size = len(counts) + 1
-        return {k: np.array([math.log((c.get(l, 0) + 0.5) / (total[l] + 0.5 * size))
-                             for l in self.langs]) for k, c in counts.items()}
+        logs = np.empty((len(counts), len(self.langs)))
+        for row, c in zip(logs, counts.values(), strict=True):
+            row[:] = [math.log((c.get(l, 0) + 0.5) / (total[l] + 0.5 * size))
+                      for l in self.langs]
+        return {k: at for at, k in enumerate(counts)}, logs
 
     def vector(self, word):
-        v = self.words.get(word)
-        if v is not None:
-            return v
+        rows, logs = self.words
+        at = rows.get(word)
+        if at is not None:
+            return logs[at]
         for size in range(LONGEST, 0, -1):
-            known = self.grams.get(size, {})
-            found = [known[g] for g in grams(word, size) if g in known]
-            if found:
-                return sum(found) / len(found)
+            if size in self.grams:
+                rows, logs = self.grams[size]
+                found = [rows[g] for g in grams(word, size) if g in rows]
+                if found:
+                    return logs[found].sum(axis=0) / len(found)
         return np.zeros(len(self.langs))
 
     def predict(self, texts, memory: "Memory | None" = None):
@@ -166,6 +173,11 @@ def fit(docs: DataFrame, *, train_rows: int = 4000, max_words: int = 60_000,
     return Model(list(sizes), words, by_size)
 
 
+def _texts(column: pa.Array):
+    """The texts one by one: a batch isn't turned into strings as a whole."""
+    return (text.as_py() for text in column)
+
+
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) per row; the model is bounded and travels along."""
@@ -174,13 +186,15 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id",
     def run(batches):
         memory = Memory(shared.value)
         for b in batches:
-            got = list(shared.value.predict(b["text"], memory))
-            yield pd.DataFrame({"id": b["id"], "lang_pred": [g[0] for g in got],
-                                "score": [g[1] for g in got]})
+            got = list(shared.value.predict(_texts(b.column("text")), memory))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), pa.array([g[0] for g in got], pa.string()),
+                 pa.array([g[1] for g in got], pa.float64())],
+                names=["id", "lang_pred", "score"])
 
-    # ids travel as strings: a null would turn the others into floats
+    # ids travel as strings, whatever their type
     d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    return d.mapInPandas(run, "id string, lang_pred string, score double").withColumn(
+    return d.mapInArrow(run, "id string, lang_pred string, score double").withColumn(
         "id", F.col("id").cast(docs.schema[id_col].dataType))
 
 
@@ -188,11 +202,13 @@ def labelled(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFr
     """``docs`` with lang_pred and score added (all columns kept)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("struct<lang_pred string, score double>")
-    def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<lang_pred string, score double>")
+    def guess(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memory = Memory(shared.value)
-        for text in batches:
-            yield pd.DataFrame(list(shared.value.predict(text, memory)),
-                               columns=["lang_pred", "score"])
+        for texts in batches:
+            got = list(shared.value.predict(_texts(texts), memory))
+            yield pa.StructArray.from_arrays(
+                [pa.array([g[0] for g in got], pa.string()),
+                 pa.array([g[1] for g in got], pa.float64())], names=["lang_pred", "score"])
 
     return docs.withColumn("__lang", guess(F.col(text_col)))
