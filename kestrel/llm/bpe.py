@@ -24,6 +24,7 @@ from itertools import count
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -156,9 +157,10 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         if sorted(ranks.values()) == list(range(len(ranks))) else
         {i: w for w, i in ranks.items()})
 
-    @F.pandas_udf("binary")
-    def join_bytes(ids: pd.Series) -> pd.Series:
+    @F.arrow_udf("binary")
+    def join_bytes(ids: pa.Array) -> pa.Array:
         of = shared.value.__getitem__
-        return ids.map(lambda x: b"".join(map(of, np.frombuffer(x, "<u4").tolist())))
+        rows = (b"".join(map(of, np.frombuffer(x.as_py(), "<u4").tolist())) for x in ids)
+        return pa.array(rows, pa.binary(), size=len(ids))
 
     return encoded.withColumn("decoded", join_bytes("ids"))
