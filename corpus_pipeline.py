@@ -16,6 +16,10 @@ from kestrel.llm.jaccard_join import jaccard_join
 from kestrel.llm.mix import mixed_documents
 from kestrel.session import materialize
 
+#: Text that a task of the near-duplicate stage holds at once: executors that
+#: run all stages have less room than those of the single query.
+NEAR_BLOCK_BYTES = 4 << 20
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a language: no text or no letters. The model
@@ -38,7 +42,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays (five words,
     0.8): the one with the smallest row number."""
     held = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "near-docs")
-    gone = jaccard_join(held, n=5, threshold=80, id_col="__row").where(
+    gone = jaccard_join(held, n=5, threshold=80, id_col="__row",
+                        block_bytes=NEAR_BLOCK_BYTES).where(
         F.col("id") != F.col("component_id"))
     return held.join(gone.select(F.col("id").alias("__row")), "__row",
                      "left_anti").select(*docs.columns)
