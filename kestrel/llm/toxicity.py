@@ -9,9 +9,12 @@ the square root of the number of words, and a logistic curve maps it to a
 score.
 
 Lexicon and curve are fitted on a bounded sample (``train_rows``) of the
-labelled rows: candidates are counted on the executors, and entries are
-chosen greedily by the toxic documents that they newly explain, which keeps
-words that merely occur in copies of a toxic document out.
+labelled rows, in which texts that fold to the same count once. Candidates are
+counted on the executors, and entries are chosen greedily by the toxic texts
+that they newly explain. Candidates come to the driver in pages; a page is
+used as long as none outside it can be the better choice, then the rest is
+counted again over the texts not yet explained: the choice is the one that
+all candidates at once would give.
 
 Defined results: null, empty and match-free texts get the curve's value at
 zero; without labels of both kinds the lexicon is empty and every score 0;
@@ -20,6 +23,7 @@ repeated rows are each scored; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import unicodedata
@@ -31,6 +35,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.session import materialize
+
 #: Letters of other scripts that look like Latin ones, and signs and digits
 #: that stand for letters.
 HOMOGLYPHS = dict(zip("аеорсухіјѕһԁԛԝᴀοανικρτυ", "aeopcyxijshdqwaoavikptu", strict=True))
@@ -130,15 +136,84 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     return tuple(float(v) for v in w)
 
 
+def _cover(texts: DataFrame, table: DataFrame, least: int, page_rows: int) -> dict[str, float]:
+    """Greedy choice from ``table`` (feature, w, pos): each entry newly explains
+    the most of ``texts`` (key, text), and ``least`` of them at least. Ties go
+    to the greater weight, then to the greater feature."""
+    chosen: dict[str, float] = {}
+    explained: set[str] = set()
+    gains = table
+    while True:
+        page = (gains.where(F.col("pos") >= least)
+                .orderBy(F.desc("pos"), F.desc("w"), F.desc("feature")).limit(page_rows + 1)
+                .collect())                                             # bounded
+        if not page:
+            return chosen
+        more, page = len(page) > page_rows, page[:page_rows]
+        at = {r["feature"]: i for i, r in enumerate(page)}
+        known = texts.sparkSession.sparkContext.broadcast((set(explained), at))
+
+        def explain(batches, known=known):
+            seen, at = known.value
+            for b in batches:
+                got = [(k, [at[f] for f in features(t) if f in at])
+                       for k, t in zip(b["key"], b["text"], strict=True) if k not in seen]
+                got = [g for g in got if g[1]]
+                yield pd.DataFrame({"key": [g[0] for g in got], "found": [
+                    np.packbits(np.isin(np.arange(len(at)), g[1])).tobytes() for g in got]})
+
+        rows = texts.mapInPandas(explain, "key string, found binary").collect()
+        if not rows:
+            return chosen
+        # bounded: a bit per text of the sample and candidate of the page
+        holds = np.array([np.frombuffer(r["found"], np.uint8) for r in rows])
+        left, open_ = np.zeros(len(page), np.int64), np.ones(len(rows), bool)
+        for i in range(0, len(rows), 1024):
+            left += np.unpackbits(holds[i:i + 1024], axis=1, count=len(page)).sum(
+                axis=0, dtype=np.int64)
+        last = (page[-1]["pos"], page[-1]["w"], page[-1]["feature"])
+        weights = np.array([r["w"] for r in page])
+        while True:
+            top = np.flatnonzero(left == left.max())
+            best = max(top.tolist(), key=lambda i: (weights[i], page[i]["feature"]))
+            gain, f = int(left[best]), page[best]["feature"]
+            if more and (gain, page[best]["w"], f) < last:
+                break                    # one outside the page may be better
+            if gain < least or not gain:
+                return chosen
+            chosen[f] = page[best]["w"]
+            done = np.flatnonzero(open_ & (holds[:, best >> 3] >> (7 - (best & 7)) & 1 > 0))
+            open_[done] = False
+            explained.update(rows[i]["key"] for i in done.tolist())
+            for i in range(0, len(done), 1024):
+                left -= np.unpackbits(holds[done[i:i + 1024]], axis=1, count=len(page)).sum(
+                    axis=0, dtype=np.int64)
+        seen = texts.sparkSession.sparkContext.broadcast(set(explained))
+
+        def recount(batches, seen=seen):
+            for b in batches:
+                n = Counter()
+                for k, t in zip(b["key"], b["text"], strict=True):
+                    if k not in seen.value:
+                        n.update(features(t))
+                yield pd.DataFrame(list(n.items()), columns=["feature", "pos"])
+
+        gains = materialize(
+            texts.mapInPandas(recount, "feature string, pos long")
+            .groupBy("feature").agg(F.sum("pos").alias("pos")).where(F.col("pos") >= least)
+            .join(table.select("feature", "w"), "feature"), "toxicity-candidates")
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, train_rows: int = 30_000,
         min_docs: int = 3, min_share: float = 0.002,
-        min_log_odds: float = 2.5, max_candidates: int = 5000,
+        min_log_odds: float = 2.5, page_rows: int = 5000,
         exceptions=EXCEPTIONS, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic") -> Lexicon:
     """Fit on at most about ``train_rows`` labelled rows, taken by a hash of
     the id. ``labels`` must hold the rows to learn from and no others. A
-    candidate occurs in ``min_docs`` toxic documents and ``min_share`` of them
-    at least; an entry must newly explain nearly as many."""
+    candidate occurs in ``min_docs`` toxic texts and ``min_share`` of them at
+    least; an entry must newly explain nearly as many. ``page_rows`` candidates
+    are on the driver at a time; it doesn't change the result."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(
         "y IS NOT NULL AND id IS NOT NULL").dropDuplicates(["id"])
     n = known.count()
@@ -148,6 +223,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, train_rows: int = 30_000,
     sample = F.broadcast(known.where(draw < min(1.0, train_rows / n)))   # bounded
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
         "text IS NOT NULL").join(sample, "id").select("text", "y")
+
+    def keys(batches):
+        for b in batches:
+            yield pd.DataFrame({"key": [hashlib.blake2b(fold(t).encode("utf-8", "replace"),
+                                                        digest_size=16).hexdigest()
+                                        for t in b.text], "text": b.text, "y": b.y})
+
+    d = materialize(d.mapInPandas(keys, "key string, text string, y int")
+                    .groupBy("key", "y").agg(F.min("text").alias("text")), "toxicity-texts")
     sizes = {r["y"]: r["n"] for r in d.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
     if not pos or not neg:
@@ -165,32 +249,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, train_rows: int = 30_000,
 
     odds = (F.log((F.col("pos") + 0.5) / (pos + 1.0))
             - F.log((F.col("neg") + 0.5) / (neg + 1.0)))
-    table = (d.mapInPandas(count, "feature string, pos long, neg long")
-             .groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-             .where(F.col("pos") >= least).withColumn("w", odds)
-             .where(F.col("w") >= min_log_odds)
-             .orderBy(F.desc("pos"), "feature").limit(max_candidates))
-    candidates = {r["feature"]: r["w"] for r in table.collect()}       # bounded
-
-    def explain(batches):
-        for b in batches:
-            yield pd.DataFrame({"found": [[f for f in features(t) if f in candidates]
-                                          for t in b.text]})
-
-    rows = [set(r["found"]) for r in d.where("y = 1").mapInPandas(
-        explain, "found array<string>").collect()]                     # bounded by the sample
-    chosen: dict[str, float] = {}
-    holders: dict[str, set[int]] = {}
-    for i, found in enumerate(rows):
-        for f in found:
-            holders.setdefault(f, set()).add(i)
-    while holders:
-        f = max(holders, key=lambda f: (len(holders[f]), candidates[f], f))
-        done = holders.pop(f)
-        if len(done) < least - 1:
-            break
-        chosen[f] = candidates[f]
-        holders = {k: left for k, v in holders.items() if (left := v - done)}
+    table = materialize(
+        d.mapInPandas(count, "feature string, pos long, neg long")
+        .groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        .where(F.col("pos") >= least).withColumn("w", odds)
+        .where(F.col("w") >= min_log_odds).select("feature", "w", "pos"), "toxicity-candidates")
+    chosen = _cover(d.where("y = 1").select("key", "text"), table, least - 1, page_rows)
     lexicon = Lexicon(chosen, exceptions)
 
     def measure(batches):

@@ -76,3 +76,27 @@ def test_toxicity_edges(spark):
     assert toxicity.score(empty(spark), lex).count() == 0
     assert toxicity.fit(empty(spark), labels).weights == {}
     assert d.withColumn("score", F.lit(1)).count() == d.count()
+
+
+def _toxic_rows(rng):
+    """Clean rows, toxic rows with one of three words, and toxic texts of
+    ordinary words: one with copies, and three near copies of another."""
+    clean = [f"w{rng.randrange(3000)} w{rng.randrange(3000)} the sea" for _ in range(600)]
+    bad = [f"w{rng.randrange(3000)} {w} the sea" for w in ("idiot", "scumbag", "moron")
+           for _ in range(12)]
+    long = " ".join(f"plain{i:04d}x" for i in range(400))
+    near = [" ".join(f"other{i:04d}y" for i in range(400)) + f" end{k}" for k in range(3)]
+    texts = [(t, 0) for t in clean] + [(t, 1) for t in bad + [long] * 300 + near * 20]
+    return [(i, t, y) for i, (t, y) in enumerate(texts)]
+
+
+def test_toxicity_copies_dont_crowd_out_words(spark):
+    import random
+    rows = _toxic_rows(random.Random(1))
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = [toxicity.fit(d, d.select("doc_id", "toxic"), page_rows=n) for n in (50, 100_000)]
+    assert got[0].weights == got[1].weights and got[0].curve == got[1].curve
+    words = {w for w in got[0].weights if not w.startswith(("other", "end"))}
+    assert len(words) == 3 and not any(w.startswith("plain") for w in words)
+    assert all(got[0].score(f"you {w}") > 0.5 for w in ("idiot", "scumbag", "moron"))
+    assert got[0].score("a calm sea") < 0.5
