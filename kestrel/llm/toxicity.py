@@ -85,10 +85,14 @@ class Lexicon:
     def machine(self):
         if self._machine is None:
             a = ahocorasick.Automaton()
+            # a word, a stem and a phrase may be the same string
+            found: dict[str, list] = {}
             for entry, w in self.weights.items():
-                a.add_word(entry.rstrip("*"), (entry.rstrip("*"), w, entry.endswith("*")))
+                found.setdefault(entry.rstrip("*"), []).append((w, entry.endswith("*")))
             for phrase in self.exceptions:
-                a.add_word(fold(phrase), (fold(phrase), None, False))
+                found.setdefault(fold(phrase), []).append((None, False))
+            for key, values in found.items():
+                a.add_word(key, (key, values))
             a.make_automaton()
             self._machine = a
         return self._machine
@@ -98,13 +102,14 @@ class Lexicon:
         folded, hits, spared = fold(text), [], []
         if not self.weights:
             return []
-        for end, (entry, weight, stem) in self.machine().iter(folded):
-            start, end = end - len(entry) + 1, end + 1
+        for end, (key, values) in self.machine().iter(folded):
+            start, end = end - len(key) + 1, end + 1
             if start and folded[start - 1].isalnum():
                 continue
-            if not stem and end < len(folded) and folded[end].isalnum():
-                continue
-            (hits if weight is not None else spared).append((start, end, weight))
+            inside = end < len(folded) and folded[end].isalnum()
+            for weight, stem in values:
+                if stem or not inside:
+                    (hits if weight is not None else spared).append((start, end, weight))
         return [h for h in hits if not any(s <= h[0] and h[1] <= e for s, e, _ in spared)]
 
     def measures(self, text) -> tuple[float, float]:

@@ -100,3 +100,11 @@ def test_toxicity_copies_dont_crowd_out_words(spark):
     assert len(words) == 3 and not any(w.startswith("plain") for w in words)
     assert all(got[0].score(f"you {w}") > 0.5 for w in ("idiot", "scumbag", "moron"))
     assert got[0].score("a calm sea") < 0.5
+
+
+def test_toxicity_word_and_stem_of_one_string():
+    for entries in (["fool", "fool*"], ["fool*", "fool"]):
+        lex = toxicity.Lexicon(dict.fromkeys(entries, 4.0))
+        assert lex.matches("fools") and lex.matches("foolish") and lex.matches("a fool")
+        assert not toxicity.Lexicon({"fool": 4.0}).matches("fools")
+    assert not toxicity.Lexicon({"fool": 4.0, "fool*": 4.0}, exceptions=("fool",)).matches("a fool")
