@@ -5,6 +5,13 @@ again; vectors close to a split go to both sides (spill overlap). Vectors
 are compared within the leaves, pairs at or above the threshold are links,
 and links are united to components.
 
+Trees lose more pairs the deeper they are, so their number follows from a
+measurement: the share of pairs that meet in a leaf, for partners planted at
+the threshold and for the links of a query set, found by comparing it with
+all vectors. Trees are added until both shares reach ``recall``; where that
+many trees would compare no less than all pairs, and for small tables, all
+pairs are compared.
+
 The trees are fitted on a bounded sample (``sample_rows`` vectors, and again
 as many of each leaf that is still too large), every vector is routed. A leaf
 that cannot be split, because its vectors are all alike, is compared in
@@ -22,12 +29,14 @@ recall); none below the threshold is linked.
 
 from __future__ import annotations
 
+import math
 import pickle
+from collections import Counter
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.llm.components import components
@@ -93,24 +102,39 @@ def _leaf_links(threshold: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         code, (i, j) = rows["code"].iat[0], (rows["i"].iat[0], rows["j"].iat[0])
         rows = rows.sort_values("id")
-        x, ids = unit(rows["vector"]), rows["id"].to_numpy()
-        m, block = rows["copies"].to_numpy(), rows["block"].to_numpy()
-        n = len(rows)
+        x, block = unit(rows["vector"]), rows["block"].to_numpy()
+
+        def near(at):
+            """Links of 512 rows in this cell."""
+            part = slice(at, min(at + 512, len(x)))
+            got = x[part] @ x.T >= threshold
+            got[np.arange(part.stop - at), np.arange(at, part.stop)] = False
+            return got if i == j else got & (block[part, None] != block[None, :])
+
+        some = np.concatenate([near(at).any(axis=1) for at in range(0, len(x), 512)])
+        rows, x, block = rows[some], x[some], block[some]       # the others link with nothing
+        n, ids, m = len(rows), rows["id"].to_numpy(), rows["copies"].to_numpy()
         earlier = [[c for c in cs if c < code] for cs in rows["codes"]]
-        names = {c: k for k, c in enumerate(sorted({c for cs in earlier for c in cs}))}
-        seen = np.zeros((n, max(1, len(names))), np.float32)
-        for r, cs in enumerate(earlier):
-            seen[r, [names[c] for c in cs]] = 1
+        times = Counter(c for cs in earlier for c in cs)
+        names = {c: k for k, c in enumerate(sorted(c for c, t in times.items() if t > 1))}
+        held = [(r, names[c]) for r, cs in enumerate(earlier) for c in cs if c in names]
+        held = np.array(held, np.int64).reshape(-1, 2)
+
+        def met(at):
+            """Whether 512 rows share an earlier leaf with the others."""
+            out = np.zeros((min(at + 512, n) - at, n), bool)
+            for k in range(0, len(names), 2048):
+                h = held[(held[:, 1] >= k) & (held[:, 1] < k + 2048)]
+                seen = np.zeros((n, min(2048, len(names) - k)), np.float32)
+                seen[h[:, 0], h[:, 1] - k] = 1
+                out |= seen[at:at + 512] @ seen.T > 0
+            return out
+
         counts, label = np.zeros(n, np.int64), np.arange(n)
         for at in range(0, n, 512):
-            part = slice(at, min(at + 512, n))
-            near = x[part] @ x.T >= threshold
-            near[np.arange(part.stop - at), np.arange(at, part.stop)] = False
-            if i != j:
-                near &= block[part, None] != block[None, :]
-            fresh = near & (seen[part] @ seen.T == 0)
-            counts[part] = fresh @ m
-            for r, row in zip(range(at, part.stop), near, strict=True):
+            links = near(at)
+            counts[at:at + 512] = (links & ~met(at)) @ m
+            for r, row in enumerate(links, at):
                 tied = np.flatnonzero(row[:r])
                 if len(tied):
                     old = np.unique(label[np.r_[tied, r]])
@@ -123,46 +147,37 @@ def _leaf_links(threshold: float):
 
 # ------------------------------------------------------------- the operator
 
-def _one_length(reps: DataFrame, dims: int, threshold, trees, leaf_rows, cell_rows,
-                sample_rows, spill, seed, rounds):
-    """(id, n) link counts and (id, tie) edges among distinct vectors."""
-    spark = reps.sparkSession
-    n = reps.count()
-    # half the typical difference of a threshold pair along one direction
-    margin = spill * float(np.sqrt(max(0.0, 2 - 2 * threshold) / dims))
-
-    def draw(rows):
-        """Hash sample of about ``sample_rows`` of so many rows."""
-        u = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        return u < F.least(F.lit(1.0), F.lit(float(sample_rows)) / rows)
-
-    sample = [r["vector"] for r in reps.where(draw(F.lit(n))).select("vector").collect()]
-    if not sample:
-        sample = [r["vector"] for r in reps.select("vector").limit(sample_rows).collect()]
-    x = unit(sample)
+def _leaves(every: DataFrame, x: np.ndarray, n: int, trees: range, draw, margin: float,
+            leaf_rows: int, seed: int, rounds: int) -> DataFrame:
+    """(id, probe, code): the leaves of these trees, fitted on ``x``, that each
+    row of ``every`` (id, probe, vector) falls into. Planted rows (probe 1) are
+    routed only."""
+    spark = every.sparkSession
     leaf = max(24, int(leaf_rows * len(x) / max(n, 1)))
     forest = spark.sparkContext.broadcast(
-        [fit_tree(x, leaf, margin, np.random.default_rng([seed, t])) for t in range(trees)])
+        [(t, fit_tree(x, leaf, margin, np.random.default_rng([seed, t]))) for t in trees])
 
     def route_all(batches):
         for b in batches:
-            v, ids, out = unit(b["vector"]), b["id"].tolist(), []
-            for t, nodes in enumerate(forest.value):
+            v, out = unit(b["vector"]) if len(b) else [], []
+            ids, probe = b["id"].tolist(), b["probe"].tolist()
+            for t, nodes in forest.value if len(b) else ():
                 names: dict = {}
                 for r, at in route(v, nodes, margin):
                     if at not in names:
                         names[at] = _leaf_code(0, t, at)
-                    out.append((ids[r], names[at]))
-            yield pd.DataFrame(out, columns=["id", "code"])
+                    out.append((ids[r], probe[r], names[at]))
+            yield pd.DataFrame(out, columns=["id", "probe", "code"])
 
-    assign = materialize(reps.mapInPandas(route_all, "id long, code long"), "leaves")
+    made = "id long, probe int, code long"
+    assign = materialize(every.mapInPandas(route_all, made), "leaves")
     fresh = assign
-    for level in range(rounds):                # leaves that are still too large
-        large = fresh.groupBy("code").agg(F.count(F.lit(1)).alias("rows")).where(
-            F.col("rows") > 4 * leaf_rows)
+    for _ in range(rounds):                    # leaves that are still too large
+        large = fresh.where("probe = 0").groupBy("code").agg(
+            F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 4 * leaf_rows)
         if large.isEmpty():
             break
-        part = assign.join(large, "code").join(reps, "id")
+        part = assign.join(large, "code").join(every, ["id", "probe"])
 
         def refit(rows: pd.DataFrame) -> pd.DataFrame:
             v, code = unit(rows["vector"]), int(rows["code"].iat[0])
@@ -172,7 +187,8 @@ def _one_length(reps: DataFrame, dims: int, threshold, trees, leaf_rows, cell_ro
                                  "tree": [pickle.dumps(nodes)]})
 
         subtrees = materialize(
-            part.where(draw(F.col("rows"))).select("code", "rows", "vector")
+            part.where((F.col("probe") == 0) & draw(F.col("rows")))
+            .select("code", "rows", "vector")
             .groupBy("code").applyInPandas(refit, "code long, split boolean, tree binary")
             .where("split"), "subtrees")
 
@@ -181,16 +197,120 @@ def _one_length(reps: DataFrame, dims: int, threshold, trees, leaf_rows, cell_ro
                 out = []
                 for code, g in b.groupby("code"):
                     nodes = pickle.loads(g["tree"].iat[0])
-                    ids = g["id"].tolist()
-                    out += [(ids[r], _leaf_code(code, 0, at))
+                    ids, probe = g["id"].tolist(), g["probe"].tolist()
+                    out += [(ids[r], probe[r], _leaf_code(code, 0, at))
                             for r, at in route(unit(g["vector"]), nodes, margin)]
-                yield pd.DataFrame(out, columns=["id", "code"])
+                yield pd.DataFrame(out, columns=["id", "probe", "code"])
 
         fresh = materialize(
-            part.join(subtrees, "code").select("code", "id", "vector", "tree")
-            .mapInPandas(route_part, "id long, code long"), "leaves")
+            part.join(subtrees, "code").select("code", "id", "probe", "vector", "tree")
+            .mapInPandas(route_part, made), "leaves")
         assign = materialize(assign.join(subtrees.select("code"), "code", "left_anti")
-                             .select("id", "code").unionByName(fresh), "leaves")
+                             .select("id", "probe", "code").unionByName(fresh), "leaves")
+    return assign
+
+
+def _partners(threshold: float, seed: int):
+    """Planted partners: one vector at the threshold for each vector."""
+    t = min(1.0, max(-1.0, threshold))
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for i, x in zip(b["id"], unit(b["vector"]) if len(b) else [], strict=True):
+                u = np.random.default_rng([seed, int(i) % (1 << 63)]).standard_normal(len(x))
+                u -= (u @ x) * x
+                size = np.linalg.norm(u)
+                out.append(t * x + math.sqrt(1 - t * t) * u / size if size > 1e-9 else x)
+            yield pd.DataFrame({"id": b["id"], "probe": 1, "vector": out})
+    return run
+
+
+def _query_links(ids: np.ndarray, q: np.ndarray, threshold: float, most: int = 16):
+    """Links of the queries, for each the ``most`` nearest to the threshold."""
+    def run(batches):
+        kept = np.zeros((0, 3))                  # query, place in ``other``, cosine
+        other = np.zeros(0, np.int64)
+        for b in batches:
+            for at in range(0, len(b), 1024):
+                part = b.iloc[at:at + 1024]
+                cos, own = unit(part["vector"]) @ q.T, part["id"].to_numpy()
+                r, k = np.nonzero((cos >= threshold) & (own[:, None] != ids[None, :]))
+                kept = np.vstack([kept, np.column_stack(
+                    [k, np.arange(len(r)) + len(other), cos[r, k]])])
+                other = np.r_[other, own[r]]
+                order = np.lexsort((kept[:, 2], kept[:, 0]))
+                kept = kept[order]
+                first = np.searchsorted(kept[:, 0], kept[:, 0])
+                kept = kept[np.arange(len(kept)) - first < most]
+                other = other[kept[:, 1].astype(np.int64)]
+                kept[:, 1] = np.arange(len(kept))
+        yield pd.DataFrame({"a": ids[kept[:, 0].astype(np.int64)], "b": other, "cos": kept[:, 2]})
+    return run
+
+
+def _one_length(reps: DataFrame, dims: int, threshold, trees, leaf_rows, cell_rows,
+                sample_rows, spill, seed, rounds, recall, query_rows):
+    """(id, n) link counts and (id, tie) edges among distinct vectors."""
+    spark = reps.sparkSession
+    n = reps.count()
+    # half the typical difference of a threshold pair along one direction
+    margin = spill * float(np.sqrt(max(0.0, 2 - 2 * threshold) / dims))
+    whole = reps.select("id", F.lit(0).cast("long").alias("code"))
+
+    def draw(rows, most=sample_rows, salt=seed):
+        """Hash sample of about ``most`` of so many rows."""
+        u = F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        return u < F.least(F.lit(1.0), F.lit(float(most)) / rows)
+
+    def forest():
+        """(id, code) of as many trees as the recall takes."""
+        queries = reps.where(draw(F.lit(n), query_rows, f"queries {seed}")).select("id", "vector")
+        asked = queries.collect()                                        # bounded
+        if not asked:
+            return whole
+        planted = queries.mapInPandas(_partners(threshold, seed),
+                                      "id long, probe int, vector array<double>")
+        every = materialize(reps.select("id", F.lit(0).alias("probe"),
+                                        F.col("vector").cast("array<double>"))
+                            .unionByName(planted), "vectors")
+        near = reps.select("id", "vector").mapInPandas(
+            _query_links(np.array([r["id"] for r in asked]), unit([r["vector"] for r in asked]),
+                         threshold), "a long, b long, cos double")
+        rank = F.row_number().over(Window.partitionBy("a").orderBy("cos", "b"))
+        near = materialize(near.withColumn("rank", rank).where("rank <= 16").select("a", "b"),
+                           "query-links")
+        linked = near.count()
+        sample = [r["vector"] for r in reps.where(draw(F.lit(n))).select("vector").collect()]
+        if not sample:
+            sample = [r["vector"] for r in reps.select("vector").limit(sample_rows).collect()]
+        x, assign, total, more = unit(sample), None, 0, trees
+        while True:
+            got = _leaves(every, x, n, range(total, total + more), draw, margin, leaf_rows, seed,
+                          rounds)
+            assign, total = got if assign is None else assign.unionByName(got), total + more
+            real = assign.where("probe = 0").select("id", "code")
+            met = (assign.where("probe = 1").select("id", "code").join(real, ["id", "code"])
+                   .select("id").distinct().count())
+            share = met / len(asked)
+            if linked:
+                mine = near.join(real.select(F.col("id").alias("a"), "code"), "a")
+                met = mine.join(real.select(F.col("id").alias("b"), "code"),
+                                ["b", "code"]).select("a", "b").distinct().count()
+                share = min(share, met / linked)
+            if share >= recall:
+                return real
+            want = 2 * total
+            if share > 0:
+                want = min(want, math.ceil(total * math.log(1 - recall) / math.log(1 - share)))
+            want = max(want, total + 1)
+            pairs = real.groupBy("code").agg(F.count(F.lit(1)).cast("double").alias("rows")).agg(
+                F.sum(F.col("rows") * F.col("rows"))).first()[0]
+            if pairs * want / total >= float(n) * n:
+                return whole
+            more = want - total
+
+    assign = whole if n <= trees * leaf_rows or recall >= 1 else forest()
     counts = assign.groupBy("code").agg(F.count(F.lit(1)).alias("rows"))
     large = counts.where(F.col("rows") > cell_rows).select(
         "code", F.ceil(F.col("rows") / cell_rows).cast("int").alias("k"))
@@ -207,9 +327,11 @@ def _one_length(reps: DataFrame, dims: int, threshold, trees, leaf_rows, cell_ro
 
 def embed_dedup(vectors: DataFrame, *, threshold: float = 0.9, trees: int = 8,
                 leaf_rows: int = 512, cell_rows: int = 4096, sample_rows: int = 20_000,
-                spill: float = 0.3, seed: int = 5, rounds: int = 8, id_col: str = "vec_id",
+                spill: float = 0.3, seed: int = 5, rounds: int = 8,
+                recall: float = 0.95, query_rows: int = 1000, id_col: str = "vec_id",
                 vector_col: str = "embedding") -> DataFrame:
-    """One row per input row: id, n_links, component_id, kept."""
+    """One row per input row: id, n_links, component_id, kept. ``trees`` is the
+    number to start with; ``recall`` 1 compares all pairs."""
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
     big = F.transform("vector", lambda c: c.cast("double"))
     finite = F.forall(big, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
@@ -225,7 +347,7 @@ def embed_dedup(vectors: DataFrame, *, threshold: float = 0.9, trees: int = 8,
         reps = same.where(F.size("vector") == r["dims"]).select(
             F.col("rep").alias("id"), "copies", "vector")
         got = _one_length(reps, r["dims"], threshold, trees, leaf_rows, cell_rows, sample_rows,
-                          spill, seed, rounds)
+                          spill, seed, rounds, recall, query_rows)
         found = got if found is None else found.unionByName(got)
     if found is None:
         links = v.sparkSession.createDataFrame([], "rep long, n long")

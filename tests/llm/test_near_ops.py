@@ -113,3 +113,29 @@ def test_embeddings_against_brute_force(spark, params):
     assert got[90006].component_id == 90005 and got[90006].n_links == 1
     assert got[None].component_id is None and not got[None].kept
     assert embed_dedup(d.where("false")).count() == 0
+
+
+def _deep_clustered(rng, n=3000, dims=32):
+    """Vectors around one mean (share 0.3 of the variance is left), each third
+    with a partner at cosine 0.9 to 0.92."""
+    mean = rng.standard_normal(dims)
+    mean /= np.linalg.norm(mean)
+    x = np.sqrt(0.7) * mean + np.sqrt(0.3 / dims) * rng.standard_normal((n, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u = rng.standard_normal((n // 3, dims))
+    u -= (u * x[:n // 3]).sum(1, keepdims=True) * x[:n // 3]
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    c = rng.uniform(0.901, 0.92, (n // 3, 1))
+    return np.vstack([x, c * x[:n // 3] + np.sqrt(1 - c * c) * u])
+
+
+def test_embeddings_near_the_threshold_in_deep_trees(spark):
+    x = _deep_clustered(np.random.default_rng(6))
+    d = spark.createDataFrame([(i, [float(np.float32(v)) for v in e]) for i, e in enumerate(x)],
+                              "vec_id long, embedding array<float>")
+    m = np.array([r.embedding for r in d.sort("vec_id").collect()])
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    degree = (m @ m.T >= 0.9).sum(1) - 1
+    got = {r.id: r.n_links for r in embed_dedup(d, trees=2, leaf_rows=32, sample_rows=600).collect()}
+    mine = np.array([got[i] for i in range(len(x))])
+    assert (mine <= degree).all() and mine.sum() >= 0.9 * degree.sum() > 0
