@@ -1,11 +1,12 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
+"""Substring dedup by an anchored window join, instead of relative Lempel-Ziv
+parsing.
 
-Every document is parsed greedily against the documents of all reference
-blocks with a smaller id: a factor starts where a window of ``window`` words
-occurs there and goes on while the following windows do, in the same
-reference; when the reference ends, the window across the border is looked up
-itself, so a passage that continues in another reference is not missed.
-Words covered by factors are duplicate spans.
+A word is a duplicate if it lies in a window of ``window`` words that occurs
+in a document with a smaller id. That needs no position in the reference: a
+join of window hashes gives the smallest document id of each window, and
+the runs of windows with the same smallest id are reported as factors. A greedy
+parse would cover the same words, but would have to hold or fetch the text of
+all reference blocks to extend its factors.
 
 The index of the reference blocks is built in two steps. Each window has an
 anchor (its smallest ``gram``-word hash); blocks ask which of their anchors
@@ -81,7 +82,7 @@ def _references(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def factors(reference: np.ndarray, window: int) -> list[tuple[int, int, int]]:
-    """Greedy parse: (start, length in words, reference id), from the smallest
+    """Runs of windows: (start, length in words, reference id), from the smallest
     reference id of every window (``NONE``: no reference)."""
     hit = np.flatnonzero(reference != NONE)
     if not len(hit):
