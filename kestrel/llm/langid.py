@@ -4,8 +4,9 @@ A known word scores by its log frequency in each language; an unseen word
 falls back to its longest known character n-grams (4 down to 1, with word
 borders marked). The model is fitted on a bounded sample of labelled rows
 (``train_rows`` per language, taken by a hash of the id) and therefore has a
-bounded size (at most ``max_words`` words and ``max_grams`` n-grams), so it
-can travel with the tasks. Every text is scored whole.
+bounded size (at most ``max_words`` words and ``max_grams`` n-grams, dealt to
+the languages in turn, each by its own frequencies), so it can travel with the
+tasks. Every text is scored whole.
 
 Defined results: a null text or one without letters is ``und`` with score 0;
 text whose words and n-grams are all unknown gets the first language with
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -156,11 +157,15 @@ def fit(docs: DataFrame, *, train_rows: int = 4000, max_words: int = 60_000,
     counts = materialize(counts, "langid-words")
 
     def top(df, key, most):
-        """{key: {lang: n}} of the ``most`` most frequent keys (bounded)."""
-        best = (df.groupBy(*key).agg(F.sum("n").alias("n"),
-                                     F.collect_list(F.struct("lang", "n")).alias("by"))
+        """{key: {lang: n}} of ``most`` keys (bounded): the most frequent one of
+        each language, then the second ones, and so on. A language that runs out
+        leaves its places to the others."""
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), *key))
+        best = (df.withColumn("rank", rank)
+                .groupBy(*key).agg(F.sum("n").alias("n"), F.min("rank").alias("rank"),
+                                   F.collect_list(F.struct("lang", "n")).alias("by"))
                 .where(F.col("n") >= min_count)
-                .orderBy(F.desc("n"), *key).limit(most))
+                .orderBy("rank", F.desc("n"), *key).limit(most))
         return [(tuple(r[k] for k in key), {x["lang"]: x["n"] for x in r["by"]})
                 for r in best.collect()]
 

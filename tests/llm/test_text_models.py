@@ -108,3 +108,13 @@ def test_toxicity_word_and_stem_of_one_string():
         assert lex.matches("fools") and lex.matches("foolish") and lex.matches("a fool")
         assert not toxicity.Lexicon({"fool": 4.0}).matches("fools")
     assert not toxicity.Lexicon({"fool": 4.0, "fool*": 4.0}, exceptions=("fool",)).matches("a fool")
+
+
+def test_language_with_short_texts_keeps_its_words(spark):
+    rows = [(i, " ".join(f"{a}{b}o" for a in "bcdfghjklm" for b in "nprstvwxyz"), "long")
+            for i in range(5)] + [(9, "zu qua", "short"), (10, "zu qua", "short")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(d, max_words=20, max_grams=200)
+    assert {"zu", "qua"} <= set(model.words[0]) and len(model.words[0]) == 20
+    assert {"^zu$", "qua$"} <= set(model.grams[4][0])
+    assert sum(len(g[0]) for g in model.grams.values()) <= 200
