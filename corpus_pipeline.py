@@ -22,10 +22,11 @@ NEAR_BLOCK_BYTES = 4 << 20
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a language: no text or no letters. The model
-    learns from the rows that the language query may learn from."""
+    """Rejects documents without a language: no text, no letters, or no word
+    and no n-gram that the model knows. The model learns from the rows that the
+    language query may learn from; without any, all texts with letters stay."""
     model = langid.fit(docs.where(langid.crc_mod(F.col("doc_id"), 4) != 2))
-    return (langid.labelled(docs, model).where(F.col("__lang.lang_pred") != "und")
+    return (langid.labelled(docs, model).where("__lang.known")
             .select(*docs.columns))
 
 

@@ -100,11 +100,18 @@ class Model:
 
     def predict(self, texts, memory: "Memory | None" = None):
         """(language, score) per text; ``memory`` serves several calls."""
+        return ((lang, score) for lang, score, _ in self.decide(texts, memory))
+
+    def decide(self, texts, memory: "Memory | None" = None):
+        """(language, score, whether the text has a language) per text: one
+        without letters has none, nor has one of which the model knows no word
+        and no n-gram. A model without languages denies none with letters."""
         memory = Memory(self) if memory is None else memory
         for text in texts:
             words = LETTERS.findall(text.lower()) if text else []
-            if not self.langs or not any(c.isalpha() for w in words for c in w):
-                yield "und", 0.0
+            letters = any(c.isalpha() for w in words for c in w)
+            if not self.langs or not letters:
+                yield "und", 0.0, letters
                 continue
             try:
                 at = [memory[w] for w in words]
@@ -115,7 +122,8 @@ class Model:
             z = total / len(words) * min(len(words), 40)
             p = np.exp(z - z.max())
             best = int(p.argmax())
-            yield self.langs[best], float(p[best] / p.sum())
+            # log frequencies are below zero: only unknown words add up to zero
+            yield self.langs[best], float(p[best] / p.sum()), bool(total.any())
 
 
 class Memory(dict):
@@ -204,16 +212,19 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id",
 
 
 def labelled(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score added (all columns kept)."""
+    """``docs`` with lang_pred, score and known (whether the text has a
+    language, see ``Model.decide``) added as ``__lang`` (all columns kept)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("struct<lang_pred string, score double>")
+    @F.arrow_udf("struct<lang_pred string, score double, known boolean>")
     def guess(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memory = Memory(shared.value)
         for texts in batches:
-            got = list(shared.value.predict(_texts(texts), memory))
+            got = list(shared.value.decide(_texts(texts), memory))
             yield pa.StructArray.from_arrays(
                 [pa.array([g[0] for g in got], pa.string()),
-                 pa.array([g[1] for g in got], pa.float64())], names=["lang_pred", "score"])
+                 pa.array([g[1] for g in got], pa.float64()),
+                 pa.array([g[2] for g in got], pa.bool_())],
+                names=["lang_pred", "score", "known"])
 
     return docs.withColumn("__lang", guess(F.col(text_col)))

@@ -64,3 +64,15 @@ def test_run_against_brute_force(spark):
     sources = len({s for *_, s in docs})
     assert whole >= len(out) - sources                    # one cut document a source at most
     assert max(size.values()) <= 2
+
+
+def test_language_stage_rejects_by_the_model(spark):
+    d = spark.createDataFrame(
+        [(i, "the sea and the stone", "en", "a", 21) for i in range(12)]
+        + [(20, "ΩΨΦ ЖЩ", "en", "a", 6), (24, "12 34", "en", "a", 5)],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    learn = P.langid.crc_mod(F.col("doc_id"), 4) != 2
+    d = d.withColumn("lang", F.when(learn & (F.col("doc_id") < 20), F.col("lang")))
+    assert {r.doc_id for r in P.language(spark, d, SF).collect()} == set(range(12))
+    none = d.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.doc_id for r in P.language(spark, none, SF).collect()} == {*range(12), 20}
