@@ -172,6 +172,11 @@ def links(x: SignatureTree, y: SignatureTree, threshold: int) -> list[tuple]:
 
 # ---------------------------------------------------------------- the join
 
+#: Token sets of one side of a traversal, and of the small parts in one group
+#: on average.
+PIECE_BYTES = 64 << 20
+
+
 def _profiles(docs, n, threshold, id_col, text_col, block_bytes):
     """(id, size, class, rare, tokens) per row; ``rare`` and ``tokens`` only
     for classes that may have a link."""
@@ -266,15 +271,22 @@ def _part_links(threshold):
     return run
 
 
-def _cells(parts: DataFrame, threshold: int, piece_rows: int) -> DataFrame:
+def _cells(parts: DataFrame, threshold: int, piece_rows: int,
+           piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """(c, part, size) -> (c, part, i, j, piece, deal): the dual traversals
-    that a class takes part in. Narrow rows; the token sets join later."""
+    that a class takes part in. Narrow rows; the token sets join later. Parts
+    and pieces are cut by rows and by the bytes of their sets, 8 a shingle."""
     by_part, by_class = Window.partitionBy("part"), Window.partitionBy("part").orderBy("cls")
     step = 1.0001 * float(np.log(100 / threshold))   # linked sizes differ by one class at most
     p = parts.withColumn("cls", F.floor(F.log("size") / step).cast("int"))
-    stats = p.groupBy("part", "cls").agg(F.count(F.lit(1)).alias("n"))
-    stats = stats.withColumn("large", F.sum("n").over(by_part) > piece_rows)
-    k = F.ceil(F.col("n") / piece_rows).cast("int")
+    stats = p.groupBy("part", "cls").agg(F.count(F.lit(1)).alias("n"),
+                                         (8 * F.sum("size")).alias("bytes"))
+    stats = stats.withColumn("large", (F.sum("n").over(by_part) > piece_rows)
+                             | (F.sum("bytes").over(by_part) > piece_bytes))
+    k = F.greatest(F.ceil(F.col("n") / piece_rows), F.ceil(F.col("bytes") / piece_bytes)).cast(
+        "int")
+    total = parts.agg(8 * F.sum("size")).first()[0] or 0
+    deals = max(512, -(-total // piece_bytes))
 
     def beside(step_):
         same = F.lag("cls", step_).over(by_class) == F.col("cls") - step_
@@ -299,13 +311,14 @@ def _cells(parts: DataFrame, threshold: int, piece_rows: int) -> DataFrame:
     i, j = F.least("piece", "other"), F.greatest("piece", "other")
     # small parts share a group, traversals of large ones are groups of their own
     deal = F.when(F.col("large"), F.xxhash64("part", i, j)).otherwise(
-        F.pmod(F.xxhash64("part"), F.lit(512)))
+        F.pmod(F.xxhash64("part"), F.lit(deals)))
     return p.select("c", "part", i.alias("i"), j.alias("j"), "piece", deal.alias("deal"))
 
 
 def jaccard_join(docs: DataFrame, *, n: int = 5, threshold: int = 80,
                  id_col: str = "doc_id", text_col: str = "text",
-                 piece_rows: int = 6000, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                 piece_rows: int = 6000, block_bytes: int = BLOCK_BYTES,
+                 piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """One row per input row: id, n_shingles, component_id. Two documents link
     when 100 * overlap >= ``threshold`` * union of their n-word shingles."""
     prof = _profiles(docs, n, threshold, id_col, text_col, block_bytes)
@@ -316,7 +329,7 @@ def jaccard_join(docs: DataFrame, *, n: int = 5, threshold: int = 80,
     sizes = prof.where("tokens IS NOT NULL").select("c", "size").distinct()
     parts = sizes.join(parts.select(F.col("node").alias("c"), F.col("component").alias("part")),
                        "c")
-    cells = _cells(materialize(parts, "parts"), threshold, piece_rows)
+    cells = _cells(materialize(parts, "parts"), threshold, piece_rows, piece_bytes)
     # the token sets travel to their class once, and then to its traversals
     sets = (prof.where("tokens IS NOT NULL").select("c", "class", "tokens")
             .repartition("c").dropDuplicates(["c", "class"]))

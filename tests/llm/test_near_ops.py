@@ -139,3 +139,25 @@ def test_embeddings_near_the_threshold_in_deep_trees(spark):
     got = {r.id: r.n_links for r in embed_dedup(d, trees=2, leaf_rows=32, sample_rows=600).collect()}
     mine = np.array([got[i] for i in range(len(x))])
     assert (mine <= degree).all() and mine.sum() >= 0.9 * degree.sum() > 0
+
+
+def test_jaccard_pieces_are_cut_by_bytes(spark):
+    from kestrel.llm.jaccard_join import _cells
+    # one part of 100 sets of 8 MB, and 3,000 parts of one set of 32 MB
+    large = spark.createDataFrame([(i, -1, 1_000_000) for i in range(100)],
+                                  "c long, part long, size long")
+    small = spark.createDataFrame([(i, i, 4_000_000) for i in range(1000, 4000)],
+                                  "c long, part long, size long")
+    got = _cells(large.unionByName(small), 80, 6000).collect()
+    sides = {}
+    for r in got:
+        if r.part == -1:
+            sides.setdefault(r.piece, set()).add(r.c)
+    assert len(sides) > 1 and max(map(len, sides.values())) * 8e6 < 400e6
+    pairs = {}
+    for r in got:
+        if r.part == -1:
+            pairs.setdefault((r.i, r.j), set()).add(r.c)
+    met = {(a, b) for s in pairs.values() for a in s for b in s}
+    assert len(met) == 100 * 100                          # every pair meets in a cell
+    assert len({r.deal for r in got if r.part != -1}) > 512
