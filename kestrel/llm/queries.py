@@ -200,6 +200,67 @@ def op10_token_counts(spark, sf_dir):
                       (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+# ---------------------------------------------- 11: filter interaction audit
+
+AUDIT_FILTERS = "ABCDE"
+AUDIT_FLAGS = {"good": "quality = 1", "toxic": "toxic = 1"}
+
+
+def op11_filter_audit(spark, sf_dir):
+    """What each of five filters removes, in every order, per language."""
+    from kestrel.llm.filter_audit import audit, document_failures
+    rows = document_failures(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"),
+                             AUDIT_FLAGS)
+    return audit(rows, AUDIT_FILTERS, tuple(AUDIT_FLAGS))
+
+
+OP11_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+  FROM labels GROUP BY doc_id),
+f AS (
+  SELECT d.part, coalesce(m.good, false) AS good, coalesce(m.toxic, false) AS toxic,
+         (len(words) < 200)::INT
+         + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT
+         + 16 * coalesce(min(d.doc_id) OVER (PARTITION BY text) < d.doc_id, false)::INT AS fails
+  FROM d LEFT JOIN marks m ON m.doc_id = d.doc_id),
+cells AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+letters(l, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+steps AS (
+  SELECT filter_order, step::INT AS step, own.bit AS own,
+         (SELECT coalesce(sum(l2.bit), 0)::INT FROM letters l2
+          WHERE strpos(filter_order, l2.l) < step) AS before
+  FROM orders, range(1, 6) r(step)
+  JOIN letters own ON own.l = substr(filter_order, step::INT, 1)),
+counted AS (
+  SELECT c.part, s.filter_order, s.step, s.own,
+         sum(n) FILTER (WHERE fails & (before | own) = 0) AS kept,
+         sum(n) FILTER (WHERE fails & before = 0 AND fails & own <> 0) AS removed,
+         sum(n) FILTER (WHERE fails & before <> 0 AND fails & own <> 0) AS redundant,
+         sum(n) FILTER (WHERE fails = own) AS unique_fails,
+         sum(n) FILTER (WHERE good AND fails & before = 0 AND fails & own <> 0) AS good_lost,
+         sum(n) FILTER (WHERE toxic AND fails & before = 0 AND fails & own <> 0) AS toxic_lost
+  FROM steps s, cells c GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept,
+       coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+       coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
+FROM counted
+"""
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
@@ -211,10 +272,12 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLE = {
     "op1_mix_sources": OP1_SQL,
     "op2_exact_dedup": OP2_SQL,
     "op3_url_filter": OP3_SQL,
+    "op11_filter_audit": OP11_SQL,
 }

@@ -14,7 +14,7 @@ from tools.oracle_check import compare
 
 def test_all_operators_are_registered():
     got = E.queries()
-    assert {int(m[1]) for k in got if (m := re.match(r"op(\d+)_", k))} == set(range(1, 11))
+    assert {int(m[1]) for k in got if (m := re.match(r"op(\d+)_", k))} == set(range(1, 14))
     assert "pipeline" in got and set(queries.ORACLE) < set(E.oracle_sql())
 
 
