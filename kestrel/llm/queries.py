@@ -261,6 +261,26 @@ FROM counted
 """
 
 
+# ------------------------------------------------------- 13: WARC archives
+
+def op13_warc(spark, sf_dir):
+    """All pages written as ARC archives, converted to WARC and read back."""
+    from kestrel.llm.warc import convert_pages
+    return convert_pages(_read(spark, sf_dir, "pages")).withColumnRenamed("key", "page_id")
+
+
+OP13_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT page_id, html, strlen(html) AS payload_bytes,
+             CASE WHEN strlen(html) >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS last
+      FROM p)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN last <> page_id THEN last END AS refers_to
+FROM g
+"""
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
@@ -273,6 +293,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
     "op11_filter_audit": op11_filter_audit,
+    "op13_warc": op13_warc,
 }
 
 ORACLE = {
@@ -280,4 +301,5 @@ ORACLE = {
     "op2_exact_dedup": OP2_SQL,
     "op3_url_filter": OP3_SQL,
     "op11_filter_audit": OP11_SQL,
+    "op13_warc": OP13_SQL,
 }
