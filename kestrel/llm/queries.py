@@ -261,6 +261,47 @@ FROM counted
 """
 
 
+# -------------------------------------------------- 12: ranked lexical search
+
+SEARCH_TOP = 20
+
+
+def op12_lexical_search(spark, sf_dir):
+    """The 20 best of all documents for every benchmark item."""
+    from kestrel.llm.lexical_search import lexical_search
+    return lexical_search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"),
+                          k=SEARCH_TOP).withColumnRenamed("id", "doc_id")
+
+
+_TERMS_SQL = r"""regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+OP12_SQL = f"""
+WITH d AS (SELECT doc_id, {_TERMS_SQL} AS terms FROM documents),
+sized AS (SELECT doc_id, terms, len(terms)::BIGINT AS n FROM d WHERE len(terms) > 0),
+stats AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM sized),
+posting AS (
+  SELECT doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT doc_id, n, unnest(terms) AS term FROM sized) GROUP BY ALL),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM posting, stats GROUP BY term, docs),
+asked AS (
+  SELECT item_id, term, count(*)::BIGINT AS c
+  FROM (SELECT item_id, unnest({_TERMS_SQL}) AS term FROM benchmark) GROUP BY ALL),
+scored AS (
+  SELECT item_id, doc_id, sum(c * w * ((1000000000 * tf)
+           // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // words))))::BIGINT AS score
+  FROM asked JOIN posting USING (term) JOIN weight USING (term), stats
+  GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank,
+       doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= {SEARCH_TOP}
+"""
+
+
 # ------------------------------------------------------- 13: WARC archives
 
 def op13_warc(spark, sf_dir):
@@ -293,6 +334,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
     "op11_filter_audit": op11_filter_audit,
+    "op12_lexical_search": op12_lexical_search,
     "op13_warc": op13_warc,
 }
 
@@ -301,5 +343,6 @@ ORACLE = {
     "op2_exact_dedup": OP2_SQL,
     "op3_url_filter": OP3_SQL,
     "op11_filter_audit": OP11_SQL,
+    "op12_lexical_search": OP12_SQL,
     "op13_warc": OP13_SQL,
 }
