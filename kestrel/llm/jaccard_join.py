@@ -40,6 +40,7 @@ from kestrel.llm.blocks import (ANSWER, ASKED, BLOCK_BYTES, Hashes, blocks, buck
                                 by_bucket, meet, pack_arrays, question, shingles,
                                 text_bytes, unpack, unpack_arrays, whole_numbers)
 from kestrel.llm.components import components
+from kestrel.llm.rows import row_digest
 from kestrel.session import materialize
 
 BITS = 4096
@@ -343,3 +344,22 @@ def jaccard_join(docs: DataFrame, *, n: int = 5, threshold: int = 80,
     return d.join(least, "g", "left").select(
         "id", F.col("size").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("least", "id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, *, n: int = 5, threshold: int = 80, id_col: str = "doc_id",
+                text_col: str = "text", **bounds) -> DataFrame:
+    """The rows of ``docs``, with its columns, but of each group of linked
+    documents only the one with the smallest id (of several such, the smallest
+    digest of all columns): the same rows in any layout of the table."""
+    held = materialize(docs.withColumn("__row", F.monotonically_increasing_id()).withColumn(
+        "__digest", row_digest(docs.columns)), "near-docs")
+    found = jaccard_join(held, n=n, threshold=threshold, id_col="__row", text_col=text_col,
+                         **bounds).select(F.col("id").alias("__row"), "component_id")
+    named = found.join(held.select("__row", id_col, "__digest"), "__row").select(
+        "component_id", F.struct(id_col, "__digest", "__row").alias("name"))
+    first = materialize(named.groupBy("component_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("name").alias("first")).where("n > 1"),
+        "near-first")                # a table of its own: a hot group can be split
+    gone = named.join(first, "component_id").where(F.col("name") != F.col("first"))
+    return held.join(gone.select(F.col("name.__row").alias("__row")), "__row",
+                     "left_anti").select(*docs.columns)

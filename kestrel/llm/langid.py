@@ -42,6 +42,12 @@ def grams(word: str, n: int) -> list[str]:
     return [w[i:i + n] for i in range(len(w) - n + 1)] if n > 1 else list(word)
 
 
+def release() -> None:
+    """Give back what Arrow's pool holds of the batches of a task: its worker
+    stays, and later stages share the memory of the executor."""
+    pa.default_memory_pool().release_unused()
+
+
 def _count_words(batches):
     for b in batches:
         counts = Counter()
@@ -51,6 +57,7 @@ def _count_words(batches):
                 counts[lang, w] += n
         yield pd.DataFrame([(k[0], k[1], v) for k, v in counts.items()],
                            columns=["lang", "word", "n"])
+    release()
 
 
 def _count_grams(batches):
@@ -62,6 +69,8 @@ def _count_grams(batches):
                     counts[lang, size, g] += n
         yield pd.DataFrame([(*k, v) for k, v in counts.items()],
                            columns=["lang", "size", "gram", "n"])
+        counts = None
+    release()
 
 
 class Model:
@@ -226,5 +235,8 @@ def labelled(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFr
                  pa.array([g[1] for g in got], pa.float64()),
                  pa.array([g[2] for g in got], pa.bool_())],
                 names=["lang_pred", "score", "known"])
+        texts = got = None
+        memory.clear()
+        release()
 
     return docs.withColumn("__lang", guess(F.col(text_col)))

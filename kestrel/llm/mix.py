@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.llm.rows import ordinals, row_digest
 from kestrel.session import materialize, materialize_counted
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -76,8 +77,14 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share: float =
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                     word_count(F.col(text_col)).alias("size"))
-    sized, rows = materialize_counted(
-        d.withColumn("key", random_key(F.col("id"), seed)), "mix-sizes")
+    return _placed(d.withColumn("key", random_key(F.col("id"), seed)), weights, share,
+                   max_epochs, bucket_rows)
+
+
+def _placed(keyed: DataFrame, weights: tuple[int, ...], share: float, max_epochs: int,
+            bucket_rows: int) -> DataFrame:
+    """``mix`` of (id, source, size, key) rows."""
+    sized, rows = materialize_counted(keyed, "mix-sizes")
     cells = max(1, -(-rows // bucket_rows))
     bits = min(KEY_BITS, (cells - 1).bit_length())
     sized = sized.withColumn("bucket", F.shiftright("key", KEY_BITS - bits))
@@ -105,15 +112,26 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share: float =
                     "epochs", "cut")
 
 
-def mixed_documents(docs: DataFrame, *, text_col: str = "text", **params) -> DataFrame:
+def mixed_documents(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2),
+                    share: float = 1.5, max_epochs: int = 2, seed: int = 11,
+                    bucket_rows: int = 50_000, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source") -> DataFrame:
     """The mix itself, with the columns of ``docs``: each row once per whole
     pass and once more when the last pass takes it; the row at the cut keeps
     the first words of its text that the budget pays for. Rows that the mix
-    does not take are absent, word-less ones included."""
-    params.pop("id_col", None)
-    held = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-docs")
-    plan = mix(held, id_col="__row", text_col=text_col, **params).select(
-        F.col("id").alias("__row"), F.col("size").alias("__size"),
+    does not take are absent, word-less ones included. Keys are drawn from the
+    id, the digest of all columns and an ordinal among equal rows, so the same
+    rows give the same mix in any layout."""
+    held = materialize(docs.withColumn("__row", F.monotonically_increasing_id()).withColumn(
+        "__digest", row_digest(docs.columns)), "mix-docs")
+    number = ordinals(held, "__row", "__digest")
+    sized = held.select("__row", "__digest", id_col, F.col(source_col).alias("source"),
+                        word_count(F.col(text_col)).alias("size")).join(number, "__row")
+    name = F.concat_ws(":", F.col(id_col).cast("string"), "__digest", "ordinal")
+    plan = _placed(sized.select(
+        F.struct(name.alias("name"), "__row").alias("id"), "source", "size",
+        random_key(name, seed).alias("key")), weights, share, max_epochs, bucket_rows).select(
+        F.col("id.__row").alias("__row"), F.col("size").alias("__size"),
         F.col("epochs").alias("__epochs"), F.col("cut").alias("__cut"))
     plan = plan.where((F.col("__size") > 0) & (F.col("__epochs") + F.col("__cut") > 0))
     j = held.join(plan, "__row")
