@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run``
 writes it as Parquet under the session's shared folder and rereads it as the
 next stage's input. All stages but the last return the columns of the table.
+
+No stage's choice depends on files, partitions or cores: ties are decided by
+the id, then by a digest of all columns. Null ids and repeated rows are allowed
+(a null id is smallest), texts of any length are worked on whole, empty tables
+give empty results.
 """
 
 from __future__ import annotations
@@ -11,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import bpe, langid
-from kestrel.llm.exact_dedup import exact_dedup
-from kestrel.llm.jaccard_join import jaccard_join
+from kestrel.llm.exact_dedup import distinct_documents
+from kestrel.llm.jaccard_join import one_of_each
 from kestrel.llm.mix import mixed_documents
 from kestrel.session import materialize
 
@@ -31,23 +36,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest id stays."""
-    held = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "exact-docs")
-    gone = exact_dedup(held.withColumn("__key", F.struct("doc_id", "__row")),
-                       id_col="__key").where(~F.col("kept"))
-    return held.join(gone.select(F.col("id.__row").alias("__row")), "__row",
-                     "left_anti").select(*docs.columns)
+    """Of equal texts the row with the largest id stays; null text is empty."""
+    return distinct_documents(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays (five words,
-    0.8): the one with the smallest row number."""
-    held = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "near-docs")
-    gone = jaccard_join(held, n=5, threshold=80, id_col="__row",
-                        block_bytes=NEAR_BLOCK_BYTES).where(
-        F.col("id") != F.col("component_id"))
-    return held.join(gone.select(F.col("id").alias("__row")), "__row",
-                     "left_anti").select(*docs.columns)
+    0.8): the one with the smallest id. Texts without words stay."""
+    return one_of_each(docs, n=5, threshold=80, block_bytes=NEAR_BLOCK_BYTES)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
