@@ -90,5 +90,6 @@ def distinct_documents(docs: DataFrame, *, id_col: str = "doc_id",
     of all columns: the result is the same in any layout of the table."""
     named = docs.withColumn("__key", F.struct(F.col(id_col), row_digest(docs.columns)))
     r = recipes(named, id_col="__key", text_col=text_col, keep=tuple(docs.columns))
-    gone = _judged(r).where(~F.col("kept")).select("row")
+    # a table of its own: of known size, so that texts move only if it is large
+    gone = materialize(_judged(r).where(~F.col("kept")).select("row"), "exact-gone")
     return r.select("row", "kept").join(gone, "row", "left_anti").select("kept.*")

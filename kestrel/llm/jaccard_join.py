@@ -361,5 +361,6 @@ def one_of_each(docs: DataFrame, *, n: int = 5, threshold: int = 80, id_col: str
         F.count(F.lit(1)).alias("n"), F.min("name").alias("first")).where("n > 1"),
         "near-first")                # a table of its own: a hot group can be split
     gone = named.join(first, "component_id").where(F.col("name") != F.col("first"))
-    return held.join(gone.select(F.col("name.__row").alias("__row")), "__row",
-                     "left_anti").select(*docs.columns)
+    # a table of its own: of known size, so that texts move only if it is large
+    gone = materialize(gone.select(F.col("name.__row").alias("__row")), "near-gone")
+    return held.join(gone, "__row", "left_anti").select(*docs.columns)
