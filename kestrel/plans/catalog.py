@@ -27,7 +27,7 @@ from kestrel.operators import basic, graph, ml, similarity
 from kestrel.session import scratch_path
 from kestrel.sources import tables as tb
 from kestrel.sources import text as src
-from kestrel.streaming import tags
+from kestrel.streaming import panes, replay, tags
 
 # Fixed values from the reference programs.
 USER_ID = 23                 # whose ratings / recommendations are shown
@@ -656,52 +656,87 @@ def top2_trending_tags(spark, d):
 
 
 STREAM_TIMEOUT = 1800        # seconds a finite run may take
-STREAM_WATERMARK = "3650 days"   # a finite run drops no event of its table
+STREAM_FILES = 6             # replayed files, one per micro-batch
+STREAM_WATERMARK = "10 minutes"
+LATE_BY = "3 days"           # how late the delayed events of the late replay arrive
 
 
-def _events_stream(spark, d, top_dir=None, top=tags.TOP) -> str:
-    """Run the tag-window stream over the events table (availableNow) and
-    return its sink folder.
+def _replayed(spark, d, *, late: bool = False, top: int | None = None) -> tuple[str, str]:
+    """Replay the events table through the window stream, a file per micro-batch
+    and a finite watermark; returns the sink's folder and that of the rankings.
 
-    The stream runs in a child session whose shuffle partitions (= the
-    stateful operator's state partitions, fixed for the query's lifetime)
-    equal the cluster's default parallelism; the caller's session conf is
-    untouched. A row dropped by the watermark is an error.
+    With ``late``, every 40th event arrives three days after its time. The
+    stream runs in a child session whose shuffle partitions (= its state
+    partitions, fixed for the query's lifetime) are a quarter of the cluster's
+    default parallelism, as panes are counted before they are dealt; the
+    caller's session conf is untouched.
     """
     ss = spark.newSession()
-    ss.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    ss.conf.set("spark.sql.shuffle.partitions",
+                str(max(2, spark.sparkContext.defaultParallelism // 4)))
     ss.conf.set("spark.sql.session.timeZone", "UTC")
-    ev = _t(spark, d, "events")
-    # a pattern, because a stream may not name a single file; a folder matches too
-    stream = ss.readStream.schema(ev.schema).parquet(f"{d}/events.parque[t]")
-    msgs = stream.select("ts", F.concat(F.lit("user "), F.col("user_id").cast("string"),
-                                        F.lit(" #"), F.col("event_type")).alias("text"))
-    out_dir = scratch_path(spark, "trending")
-    q = tags.run_trending_stream(msgs, out_dir, scratch_path(spark, "trending-ckpt"),
-                                 watermark=STREAM_WATERMARK, trigger={"availableNow": True},
-                                 top_dir=top_dir, top=top)
+    ss.conf.set(*panes.STATE_STORE)
+    ss.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")   # a file a batch
+    ev = tb.table(ss, d, "events")
+    delayed = (F.col("event_id") % 40 == 7) if late else F.lit(False)
+    msgs = ev.select("ts", F.concat(F.lit("user "), F.col("user_id").cast("string"),
+                                    F.lit(" #"), F.col("event_type")).alias("text"),
+                     F.when(delayed, F.col("ts") + F.expr(f"INTERVAL {LATE_BY}")).otherwise(
+                         F.col("ts")).alias("arrival"))
+    path, out, tops = (scratch_path(spark, x) for x in ("replay", "windows", "window-tops"))
+    written = replay.write_replay(msgs, path, STREAM_FILES, arrival="arrival")
+    stream = replay.read_replay(ss, path, written.schema)
+    q = panes.run_window_stream(stream, out, scratch_path(spark, "windows-ckpt"),
+                                watermark=STREAM_WATERMARK, trigger={"availableNow": True},
+                                top_dir=tops if top else None, top=top or tags.TOP)
     if not q.awaitTermination(STREAM_TIMEOUT):
         q.stop()
         raise TimeoutError(f"the stream did not end within {STREAM_TIMEOUT} s")
-    late = sum(o.numRowsDroppedByWatermark for p in q.recentProgress for o in p.stateOperators)
-    if late:
-        raise RuntimeError(f"{late} rows were dropped by the watermark")
-    return out_dir
+    return out, tops
+
+
+def _ntz(df: DataFrame) -> DataFrame:
+    """Instants of the stream as the wall-clock times of the table (UTC)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return df.select(*[F.timestamp_add("MICROSECOND", F.unix_micros(c), epoch).alias(c)
+                       if t == "timestamp" else F.col(c) for c, t in df.dtypes])
 
 
 @query("stream_trending_tags", _TAGS_SQL)
 def stream_trending_tags(spark, d):
-    """The window count as a Structured Streaming query, read back from its sink."""
-    return tags.read_trending_table(spark, _events_stream(spark, d))
+    """The window counts of a replayed stream of several
+    micro-batches under a finite watermark, from panes that are added and
+    subtracted. The replay is in order, so no row may be late."""
+    out, _ = _replayed(spark, d)
+    if not panes.read_late(spark, out).isEmpty():
+        raise RuntimeError("rows of an ordered replay were late")
+    return _ntz(panes.read_windows(spark, out))
 
 
 @query("stream_top_tags", _top_sql(2))
 def stream_top_tags(spark, d):
-    """The stream's top 2 of every window (T4/O6/O10): each micro-batch ranks
-    the windows it changed, the last ranking of a window counts."""
-    top_dir = scratch_path(spark, "trending-top")
-    _events_stream(spark, d, top_dir=top_dir, top=2)
-    return tags.read_top_table(spark, top_dir)
+    """The stream's top 2 of every window, ranked by the
+    micro-batch that completes it, from its own rows only."""
+    _, tops = _replayed(spark, d, top=2)
+    return _ntz(panes.read_rankings(spark, tops))
+
+
+@query("stream_late_tags", _TAGS_SQL)
+def stream_late_tags(spark, d):
+    """A replay in which events arrive late. The counts of the
+    stream and its table of late counts, put into their windows, hold all."""
+    out, _ = _replayed(spark, d, late=True)
+    late = panes.read_late(spark, out)
+    if late.isEmpty():
+        raise RuntimeError("the late replay had no late rows")
+    k = F.explode(F.sequence(F.lit(0), F.lit(29))).alias("k")
+    start = F.timestamp_micros(F.unix_micros("pane_start") - F.col("k") * F.lit(10_000_000))
+    late = late.select("pane_start", "tag", "cnt", k).select(start.alias("window_start"), "tag",
+                                                             "cnt")
+    both = panes.read_windows(spark, out).select("window_start", "tag", "cnt").unionByName(late)
+    out = both.groupBy("window_start", "tag").agg(F.sum("cnt").alias("cnt"))
+    return _ntz(out.select("window_start", (F.col("window_start") + F.expr(
+        "INTERVAL 300 SECONDS")).alias("window_end"), "tag", "cnt"))
 
 
 # --- scalar, collection and conditional functions ------------------------------------

@@ -1,0 +1,144 @@
+"""The stream of panes against the batch windows: several micro-batches, late
+rows, rankings, restarts, and what each batch reads and holds."""
+
+import datetime as dt
+import os
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from kestrel.streaming import panes, replay, tags
+
+T0 = dt.datetime(2024, 1, 1, 12, 0, 0)
+SCHEMA = "ts timestamp, text string"
+
+
+@pytest.fixture
+def stream_session(spark):
+    ss = spark.newSession()
+    ss.conf.set(*panes.STATE_STORE)
+    ss.conf.set("spark.sql.shuffle.partitions", "2")
+    ss.conf.set("spark.sql.session.timeZone", "UTC")
+    ss.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    return ss
+
+
+def messages(seconds, rng):
+    return [(T0 + dt.timedelta(seconds=s, microseconds=rng.randrange(10 ** 6)),
+             rng.choice(["#a", "#a x #b", "#b #b", "none", "#c"])) for s in seconds]
+
+
+def run(ss, path, base, watermark="60 seconds", top=None):
+    q = panes.run_window_stream(replay.read_replay(ss, path, SCHEMA), base + "/out", base + "/ck",
+                                watermark=watermark, trigger={"availableNow": True},
+                                top_dir=base + "/top" if top else None, top=top or 10)
+    assert q.awaitTermination(300)
+    return q
+
+
+def windows(df):
+    return {(r.window_start, r.tag): r.cnt for r in df.collect()}
+
+
+def batch(ss, rows):
+    return tags.window_tag_counts(ss.createDataFrame(rows, SCHEMA))
+
+
+def test_windows_and_rankings_equal_the_batch(stream_session, tmp_dir):
+    ss, rng = stream_session, random.Random(1)
+    # gaps longer than a window, dense stretches, panes of one event
+    seconds = [*range(0, 200, 7), *range(1000, 1100, 3), 2000, *range(2290, 2330)]
+    rows = messages(seconds, rng)
+    replay.write_replay(ss.createDataFrame(rows, SCHEMA), tmp_dir + "/in", 6)
+    q = run(ss, tmp_dir + "/in", tmp_dir, top=2)
+    assert windows(panes.read_windows(ss, tmp_dir + "/out")) == windows(batch(ss, rows))
+    want = sorted(map(tuple, tags.top_tags(batch(ss, rows), 2).collect()))
+    assert sorted(map(tuple, panes.read_rankings(ss, tmp_dir + "/top").collect())) == want
+    assert panes.read_late(ss, tmp_dir + "/out").isEmpty()
+    done = [p for p in q.recentProgress if p.numInputRows]
+    assert len(done) >= 6
+    state = [o.numRowsTotal for p in done for o in p.stateOperators]
+    assert max(state) <= 2 * 4                    # a ring and a timer or two per tag
+    for k in range(len(done)):                    # a batch reads its own folder only
+        files = panes.batch_windows(ss, tmp_dir + "/out", k).inputFiles()
+        assert all(f"batch={k}/" in f for f in files)
+
+
+def test_late_rows_are_told_apart(stream_session, tmp_dir):
+    ss, rng = stream_session, random.Random(2)
+    rows = messages(range(0, 3000, 11), rng)
+    path = tmp_dir + "/in"
+    late = [(T0 + dt.timedelta(seconds=30), "#a #late"), (T0 + dt.timedelta(seconds=31), "#a")]
+    for part in (rows[:150], late + rows[150:], late[:1]):
+        ss.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    replay.write_replay(ss.createDataFrame(rows[-1:], SCHEMA).where(F.lit(False)).unionByName(
+        ss.createDataFrame([(T0 + dt.timedelta(days=1), "")], SCHEMA)), path, 1)
+    run(ss, path, tmp_dir)
+    got = panes.read_late(ss, tmp_dir + "/out").collect()
+    counts = Counter()
+    for r in got:
+        assert r.pane_start == T0 + dt.timedelta(seconds=30)
+        counts[r.tag] += r.cnt
+    assert counts == {"#a": 3, "#late": 2}
+    assert windows(panes.read_windows(ss, tmp_dir + "/out")) == windows(batch(ss, rows))
+
+
+def test_out_of_order_rows_within_the_watermark_count(stream_session, tmp_dir):
+    ss, rng = stream_session, random.Random(3)
+    rows = messages(range(0, 1500, 9), rng)
+    shaken = sorted(rows, key=lambda r: (r[0] - T0).total_seconds() + rng.randrange(250))
+    path = tmp_dir + "/in"
+    for k in range(0, len(shaken), 40):
+        ss.createDataFrame(shaken[k:k + 40], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    replay.write_replay(ss.createDataFrame([(T0 + dt.timedelta(days=1), "")], SCHEMA), path, 1)
+    run(ss, path, tmp_dir, watermark="300 seconds")
+    assert panes.read_late(ss, tmp_dir + "/out").isEmpty()
+    assert windows(panes.read_windows(ss, tmp_dir + "/out")) == windows(batch(ss, rows))
+
+
+def test_restart_goes_on_from_the_state(stream_session, tmp_dir):
+    ss, rng = stream_session, random.Random(4)
+    rows = messages(range(0, 900, 10), rng)
+    path = tmp_dir + "/in"
+    ss.createDataFrame(rows[:45], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    run(ss, path, tmp_dir)
+    replay.write_replay(ss.createDataFrame(rows[45:], SCHEMA), path, 2)
+    run(ss, path, tmp_dir)
+    assert windows(panes.read_windows(ss, tmp_dir + "/out")) == windows(batch(ss, rows))
+
+
+def test_arguments_are_checked(spark, stream_session, tmp_dir):
+    ss = stream_session
+    ss.createDataFrame([(T0, "#a")], SCHEMA).write.parquet(tmp_dir + "/in")
+    with pytest.raises(ValueError, match="whole number"):
+        panes.window_stream(replay.read_replay(ss, tmp_dir + "/in", SCHEMA), length="25 seconds",
+                            watermark="1 minute")
+    plain = replay.read_replay(spark.newSession(), tmp_dir + "/in", SCHEMA)
+    with pytest.raises(ValueError, match="providerClass"):
+        panes.run_window_stream(plain, tmp_dir + "/o", tmp_dir + "/c", watermark="1 minute")
+
+
+def test_hot_tags_are_counted_before_the_shuffle(spark):
+    frame = spark.range(1000).select((F.col("id") % 3 * 10).alias("pane"), F.lit("#a").alias("tag"),
+                                     F.lit(1).cast("long").alias("n")).coalesce(1)
+    got = frame.mapInPandas(panes._pane_counts, "pane long, tag string, cnt long").collect()
+    assert sorted((r.pane, r.cnt) for r in got) == [(0, 334), (10, 333), (20, 333)]
+
+
+def test_replay_slices_follow_the_arrival(spark, tmp_dir):
+    rng = random.Random(5)
+    rows = [(T0 + dt.timedelta(seconds=n), "#a", None if n == 3 else T0 + dt.timedelta(
+        seconds=rng.randrange(1000))) for n in range(100)]
+    d = spark.createDataFrame(rows, SCHEMA + ", arrival timestamp")
+    replay.write_replay(d, os.path.join(tmp_dir, "in"), 4, arrival="arrival")
+    files = sorted((os.path.getmtime(f.path), f.path) for f in os.scandir(tmp_dir + "/in")
+                   if f.name.startswith("part"))
+    parts = [{r.ts for r in spark.read.parquet(f).where("text <> ''").collect()}
+             for _, f in files]
+    when = {r[0]: r[2] or T0 - dt.timedelta(days=1) for r in rows}
+    parts = [p for p in parts if p]
+    assert len(files) == 6 and sum(map(len, parts)) == 100
+    assert all(max(when[t] for t in a) <= min(when[t] for t in b)
+               for a, b in zip(parts, parts[1:]))
