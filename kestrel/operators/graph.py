@@ -2,23 +2,29 @@
 vertex table, hop distances and degrees of separation.
 
 Breadth-first search is a driver loop over *levels*, one Spark job per
-level: frontier ⋈ edges -> distinct neighbours -> anti-join visited. The
-frontier and visited set are DataFrames, never collected; only a row count
-reaches the driver per level (observed during the level's write job). Every level is written once as a table in
-the session's shared checkpoint folder (``materialize``), which cuts the
-lineage, so a lost executor recomputes at most one level. Levels are written
-tables with exact sizes, so Spark's own size threshold decides which joins
-broadcast (and AQE splits a skewed hub's partition).
+level. Edges are written once, bucketed by source; reached vertices are one
+table, partitioned by level and bucketed by id in the same number of buckets.
+So a level joins the last level's partition with the edges bucket by bucket,
+deals the neighbours once by id, drops those in the table (bucketed by id, no
+exchange, no union of levels) and appends what is new. Edges and reached
+vertices are never shuffled again. Vertices with more than ``hub_edges`` edges
+are kept in a table of their own that is not bucketed, so that no task holds a
+hub; the few of them in a frontier are broadcast.
+
+Frontiers are never collected; only row counts reach the driver (observed
+during the level's write). The tables lie in the session's shared checkpoint
+folder, which cuts the lineage, so a lost executor recomputes at most one
+level; their names in the catalog are dropped when the loop ends.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from kestrel.session import materialize, materialize_counted
+from kestrel.session import materialize, materialize_counted, scratch_path
 
 
 def _ends(edges: DataFrame) -> DataFrame:
@@ -69,49 +75,108 @@ def most_connected(line_counts: DataFrame, names: DataFrame) -> DataFrame:
 
 # --- level loop ---------------------------------------------------------------
 
-def _bfs(edges: DataFrame, root, max_hops: int | None,
-         on_level=None, watch=None):
-    """Expand levels from ``root``; yield (level, frontier, size, found)
-    after each expansion, where ``frontier`` (column ``id``) holds the
-    vertices first reached at ``level``. ``on_level(level, frontier, size)``
-    runs before a level is expanded and may return True to stop. The
-    frontier size is observed during the level's write job (no separate
-    count); with ``watch``, ``found`` says whether this level reached that
-    vertex (observed in the same job) and the loop stops there.
-    """
-    spark = edges.sparkSession
-    e = materialize(edges.select("src", "dst").distinct(), "bfs-edges")
-    frontier = spark.range(1).select(F.lit(root).cast("long").alias("id"))
-    size, level, seen = 1, 0, [frontier]
-    while size and (max_hops is None or level < max_hops):
-        if on_level is not None and on_level(level, frontier, size):
-            return
-        cand = e.join(frontier, e.src == frontier.id).select(F.col("dst").alias("id")).distinct()
-        nxt = cand.join(reduce(DataFrame.unionAll, seen), "id", "left_anti")
-        if watch is None:
-            frontier, size = materialize_counted(nxt, f"bfs-level{level + 1}")
-            found = False
-        else:
-            frontier, size, m = materialize_counted(
-                nxt, f"bfs-level{level + 1}",
-                hit=F.max((F.col("id") == F.lit(watch)).cast("int")))
-            found = bool(m["hit"])
-        level += 1
-        seen.append(frontier)
-        yield level, frontier, size, found
-        if found:
-            return
+BUCKET_EDGES = 100_000       # edges that a bucket holds, until there are as many
+                             # buckets as shuffle partitions
+HUB_EDGES = 1_000_000        # edges of a vertex that is not put into a bucket
+
+
+class Levels:
+    """The tables of one search: edges by source, reached vertices by level."""
+
+    def __init__(self, edges: DataFrame, root, hub_edges: int = HUB_EDGES):
+        spark = self.spark = edges.sparkSession
+        plain, rows = materialize_counted(edges.select("src", "dst"), "bfs-edges")
+        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = max(1, min(most, -(-rows // BUCKET_EDGES)))
+        self.hubs, n = materialize_counted(
+            plain.groupBy("src").agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > hub_edges).select(F.col("src").alias("id")), "bfs-hubs")
+        self.hub_edges = None
+        if n:                                   # rows / hub_edges ids at most
+            named = F.broadcast(self.hubs.select(F.col("id").alias("src")))
+            self.hub_edges = materialize(plain.join(named, "src", "left_semi").distinct(),
+                                         "bfs-hub-edges")
+            plain = plain.join(named, "src", "left_anti")
+        name = uuid.uuid4().hex[:12]
+        self.edge_table, self.seen_table = f"kestrel_edges_{name}", f"kestrel_seen_{name}"
+        self.seen_path = scratch_path(spark, "bfs-seen")
+        (plain.repartition(self.buckets, "src").dropDuplicates(["src", "dst"]).write
+         .bucketBy(self.buckets, "src").sortBy("src").format("parquet")
+         .option("path", scratch_path(spark, "bfs-edges-by-source"))
+         .saveAsTable(self.edge_table))
+        start = spark.range(1).select(F.lit(root).cast("long").alias("id"))
+        self._append(start, 0)
+
+    def _append(self, ids: DataFrame, level: int) -> None:
+        (ids.withColumn("level", F.lit(level)).write.mode("append").partitionBy("level")
+         .bucketBy(self.buckets, "id").sortBy("id").format("parquet")
+         .option("path", self.seen_path).saveAsTable(self.seen_table))
+
+    def edges(self) -> DataFrame:
+        return self.spark.table(self.edge_table)
+
+    def seen(self) -> DataFrame:
+        return self.spark.table(self.seen_table)
+
+    def frontier(self, level: int) -> DataFrame:
+        return self.seen().where(F.col("level") == level).select("id")
+
+    def candidates(self, level: int) -> DataFrame:
+        """The distinct neighbours of a level that were not reached before."""
+        front = self.frontier(level)
+        e = self.edges()
+        found = e.join(front, e.src == front.id).select(F.col("dst").alias("id"))
+        if self.hub_edges is not None:
+            hubs = F.broadcast(front.join(self.hubs, "id", "left_semi"))
+            h = self.hub_edges
+            found = found.unionAll(h.join(hubs, h.src == hubs.id).select(
+                F.col("dst").alias("id")))
+        # dealt by id into the table's buckets; the null end of an edge is no vertex
+        new = found.where("id IS NOT NULL").repartition(self.buckets, "id").distinct()
+        return new.join(self.seen().select("id"), "id", "left_anti")
+
+    def expand(self, level: int, watch=None) -> tuple[int, bool]:
+        """Write the level after ``level``: its size, and whether it holds
+        ``watch`` (observed in the same job)."""
+        obs = Observation(f"bfs-{level}-{uuid.uuid4().hex[:8]}")
+        hit = F.lit(0) if watch is None else F.coalesce(
+            F.max((F.col("id") == F.lit(watch)).cast("int")), F.lit(0))
+        self._append(self.candidates(level).observe(
+            obs, F.count(F.lit(1)).alias("rows"), hit.alias("hit")), level + 1)
+        return int(obs.get["rows"]), bool(obs.get["hit"])
+
+    def levels(self) -> DataFrame:
+        """(id, level) of all reached vertices, from the files alone."""
+        return self.spark.read.schema("id long, level int").parquet(self.seen_path)
+
+    def close(self) -> None:
+        for name in (self.edge_table, self.seen_table):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")   # external: the files stay
+
+
+def _bfs(edges: DataFrame, root, max_hops: int | None, on_level=None, watch=None,
+         hub_edges: int = HUB_EDGES) -> tuple[DataFrame, int | None]:
+    """Expand levels from ``root``: ((id, level) of the reached vertices, the
+    level of ``watch`` if it was reached). ``on_level(level, frontier, size)``
+    runs before a level is expanded and may return True to stop; the loop also
+    stops at the level that holds ``watch``, at an empty level and after
+    ``max_hops``."""
+    at = Levels(edges, root, hub_edges)
+    try:
+        size, level, found = 1, 0, watch is not None and watch == root
+        while size and not found and (max_hops is None or level < max_hops):
+            if on_level is not None and on_level(level, at.frontier(level), size):
+                break
+            size, found = at.expand(level, watch)
+            level += 1
+        return at.levels(), level if found else None
+    finally:
+        at.close()
 
 
 def hop_levels(edges: DataFrame, root, max_hops: int | None = 10) -> DataFrame:
     """(id, level) for every vertex reachable from ``root`` within ``max_hops``."""
-    spark = edges.sparkSession
-    parts = [spark.range(1).select(F.lit(root).cast("long").alias("id"),
-                                   F.lit(0).alias("level"))]
-    for level, frontier, size, _ in _bfs(edges, root, max_hops):
-        if size:
-            parts.append(frontier.select("id", F.lit(level).alias("level")))
-    return reduce(DataFrame.unionAll, parts)
+    return _bfs(edges, root, max_hops)[0]
 
 
 def hop_distances(edges: DataFrame, root, max_hops: int | None = 10,
@@ -136,29 +201,28 @@ def nearest(edges: DataFrame, root, k: int, max_hops: int | None = 10,
     """The k vertices nearest to ``root``, ordered by (distance, id),
     as ``hop_distances(...).orderBy("distance", "id").limit(k)`` returns
     them, but the level loop stops once k vertices are reached: every vertex
-    not reached yet is further away. If fewer than k are reachable, unreached
-    vertices (``Infinity``) fill up by id."""
+    not reached yet is further away. With ``vertex_ids`` only those vertices
+    count and are returned. If fewer than k are reachable, unreached vertices
+    (``Infinity``) fill up by id."""
     spark = edges.sparkSession
-    state = {"seen": 1}
+    state = {"seen": 0}
+    if vertex_ids is not None:
+        vertex_ids = vertex_ids.select("id").distinct()
 
     def enough(level, frontier, size):
-        return level >= 1 and state["seen"] >= k
-
-    parts = [spark.range(1).select(F.lit(root).cast("long").alias("id"), F.lit(0).alias("level"))]
-    for level, frontier, size, _ in _bfs(edges, root, max_hops, on_level=enough):
+        if vertex_ids is not None:
+            size = frontier.join(vertex_ids, "id", "left_semi").count()
         state["seen"] += size
-        if size:
-            parts.append(frontier.select("id", F.lit(level).alias("level")))
-    lv = reduce(DataFrame.unionAll, parts)
-    if len(parts) > 1 and state["seen"] >= k:
-        cand = lv.select("id", F.col("level").cast("double").alias("distance"))
-    else:
-        if vertex_ids is None:
-            vertex_ids = _ends(edges).union(
-                spark.range(1).select(F.lit(root).cast("long").alias("id"))).distinct()
-        cand = vertex_ids.select("id").join(lv, "id", "left").select(
-            "id", F.coalesce(F.col("level").cast("double"), F.lit(float("inf"))).alias("distance"))
-    return cand.orderBy("distance", "id").limit(k)
+        return state["seen"] >= k
+
+    lv = _bfs(edges, root, max_hops, on_level=enough)[0]
+    if vertex_ids is None:
+        vertex_ids = _ends(edges).union(
+            spark.range(1).select(F.lit(root).cast("long").alias("id"))).distinct()
+    kind = "inner" if state["seen"] >= k else "left"
+    return vertex_ids.join(lv, "id", kind).select(
+        "id", F.coalesce(F.col("level").cast("double"), F.lit(float("inf"))).alias("distance")
+    ).orderBy("distance", "id").limit(k)
 
 
 def hop_distance_to(edges: DataFrame, root, target, max_hops: int | None = 10,
@@ -168,11 +232,8 @@ def hop_distance_to(edges: DataFrame, root, target, max_hops: int | None = 10,
     No row when ``target`` is not a vertex (a filter on the vertex set, as
     in the reference)."""
     spark = edges.sparkSession
-    dist = 0.0 if root == target else float("inf")
-    if root != target:
-        for level, _, _, found in _bfs(edges, root, max_hops, watch=target):
-            if found:
-                dist = float(level)
+    level = _bfs(edges, root, max_hops, watch=target)[1]
+    dist = float("inf") if level is None else float(level)
     if vertex_ids is None:
         vertex_ids = _ends(edges).union(
             spark.range(1).select(F.lit(root).cast("long").alias("id")))
@@ -203,8 +264,7 @@ def degrees_of_separation(edges: DataFrame, start, target, max_hops: int | None
             return True
         return max_hops is not None and level + 1 >= max_hops
 
-    for _ in _bfs(edges, start, None, on_level=probe):
-        pass
+    _bfs(edges, start, None, on_level=probe)
     return spark.createDataFrame(
         [(int(start), int(target), found.get("degree"), found.get("hits", 0))],
         "start long, target long, degree int, hits long")
