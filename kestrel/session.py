@@ -7,6 +7,7 @@ iterative and streaming operators write to.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -67,10 +68,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "(HDFS/S3/ABFS) that every executor can reach")
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
+    """A fresh sub-folder of the shared checkpoint folder for written tables;
+    an open ``table_scope`` records it."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def table_scope(spark: SparkSession):
+    """Removes, at its end or after an error, every table that operators wrote
+    to the shared folder while it was open (innermost scope first), through
+    Hadoop's file system, so in any store. Results are read from those tables:
+    collect or write them before the scope ends."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.remove(paths)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def materialize(df, name: str):
