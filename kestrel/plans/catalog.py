@@ -532,6 +532,15 @@ def similar_items(spark, d):
                                     10, titles=tb.item_titles(spark, d))
 
 
+@query("similar_pairs", f"""
+  SELECT item1, item2, score, n FROM ({_PAIRS_SQL})
+  WHERE score > {MIN_SCORE} AND n > {MIN_SUPPORT}""")
+def similar_pairs(spark, d):
+    """All item pairs over the thresholds, pruned by support before
+    pairs are formed."""
+    return similarity.similar_pairs(tb.ratings(spark, d), MIN_SCORE, MIN_SUPPORT)
+
+
 # --- recommendation and regression ----------------------------------------------
 
 @query("als_recommend")  # no SQL form: rows-only check
@@ -542,6 +551,37 @@ def als_recommend(spark, d):
     return out.select("user_id", "item_id", "title", "rating", "rank")
 
 
+ALS_CHECK_OFFSET = 5_000_000_000     # added to the ids: beyond 32 bits
+
+
+@query("als_fit_check", f"""
+  WITH r AS ({_RATINGS_SQL})
+  SELECT count(*) AS n_ratings, TRUE AS beats_mean, TRUE AS scores_agree,
+         (SELECT least(10, count(DISTINCT item_id)) FROM r) AS n_ranked FROM r""")
+def als_fit_check(spark, d):
+    """M1/M2: the fit of ids beyond 32 bits, checked: its error over all ratings
+    is below their standard deviation, and the ranking of one user is what the
+    written factors give when they are joined and summed by position."""
+    r = tb.ratings(spark, d)
+    far = r.select((F.col("user_id") + ALS_CHECK_OFFSET).alias("user_id"),
+                   (F.col("item_id") + ALS_CHECK_OFFSET).alias("item_id"), "rating")
+    users, items = ml.als_factors(far)
+    me = USER_ID + ALS_CHECK_OFFSET
+    ranked = ml.als_rank(users, items, me, 10).select("item_id", "rating")
+    u = users.where(F.col("id") == me).select(F.posexplode("features").alias("j", "a"))
+    i = items.select("id", F.posexplode("features").alias("j", "b"))
+    again = i.join(F.broadcast(u), "j").groupBy("id").agg(
+        F.sum(F.col("a").cast("double") * F.col("b")).alias("again"))
+    top = again.orderBy(F.desc("again"), "id").limit(10)
+    both = ranked.join(top, ranked.item_id == top.id, "full")
+    near = F.abs(F.col("rating") - F.col("again")) < 1e-3
+    agree = both.agg(F.bool_and(F.coalesce(near, F.lit(False))).alias("scores_agree"),
+                     F.count(F.lit(1)).alias("n_ranked"))
+    fit = ml.als_rmse(far, users, items).select(
+        F.col("n").alias("n_ratings"), (F.col("rmse") < F.col("spread")).alias("beats_mean"))
+    return fit.join(F.broadcast(agree), F.lit(True))         # one row each
+
+
 def _ridge_data(spark, d):
     li = _t(spark, d, "lineitem")
     df = li.select(F.col("l_orderkey"), F.col("l_linenumber"),

@@ -206,3 +206,40 @@ def test_stream_drops_events_behind_the_watermark(spark, tmp_dir):
     run()
     got = {r.tag for r in tags.read_trending_table(spark, out).collect()}
     assert got == {"#a"}
+
+
+def test_ids_beyond_32_bits_and_of_strings(spark):
+    rows = [(u, i, float((u * 7 + i * 3) % 5 + 1)) for u in range(20) for i in range(15) if (u + i) % 3]
+    far = spark.createDataFrame([(u + 2 ** 40, f"item {i:02}", r) for u, i, r in rows] + [
+        (None, "item 00", 1.0)], "user_id long, item_id string, rating double")
+    users, items = ml.als_factors(far, max_iter=5)
+    assert {r.id for r in users.collect()} == {u + 2 ** 40 for u in range(20)}
+    assert sorted(r.id for r in items.collect()) == [f"item {i:02}" for i in range(15)]
+    top = ml.als_rank(users, items, 2 ** 40 + 4, 5).orderBy("rank").collect()
+    f = {r.id: r.features for r in items.collect()}
+    me = next(r.features for r in users.collect() if r.id == 2 ** 40 + 4)
+    want = sorted(f, key=lambda i: -sum(a * b for a, b in zip(me, f[i])))[:5]
+    assert [r.item_id for r in top] == want
+    fit = ml.als_rmse(far, users, items).first()
+    assert fit.n == len(rows) and fit.rmse < fit.spread
+
+
+def test_dense_ids_follow_the_order(spark):
+    ids = [5 * n - 2 ** 45 for n in range(500)]
+    d = spark.createDataFrame([(i,) for i in ids + ids[:50] + [None]], "id long").repartition(7)
+    got = {r.id: r["index"] for r in ml.dense_ids(d).collect()}
+    assert got == {i: n for n, i in enumerate(ids)}
+    assert ml.dense_ids(d.where("id IS NULL")).count() == 0
+
+
+def test_wide_ridge_equals_numpy(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x, w = rng.normal(size=(900, 300)), rng.normal(size=300)
+    y = x @ w + rng.normal(size=900)
+    from pyspark.ml.linalg import Vectors
+    df = spark.createDataFrame([(float(b), Vectors.dense(a)) for a, b in zip(x, y)],
+                               ["label", "features"]).repartition(5)
+    got = ml.ridge_fit(df, reg=0.05).coefficients
+    want = np.linalg.solve(x.T @ x / 900 + 0.05 * np.eye(300), x.T @ y / 900)
+    assert np.allclose(got, want, atol=1e-8)
