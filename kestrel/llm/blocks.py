@@ -11,10 +11,13 @@ both sides of every group are bounded by the block and bucket sizes.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import itertools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -47,6 +50,32 @@ def unpack_arrays(blob: bytes, *kinds) -> list[np.ndarray]:
     return [np.frombuffer(x, k) for x, k in zip(unpack(blob), kinds, strict=True)]
 
 
+def release() -> None:
+    """Give the free memory of a Python worker back to the system: workers stay
+    for later stages, which share the executor's memory with them."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):      # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def of_one(fn):
+    """``fn`` on one group, memory given back after it."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        out = fn(rows)
+        release()
+        return out
+    return run
+
+
+def of_two(fn):
+    """``fn`` on two groups of a key, memory given back after it."""
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = fn(left, right)
+        release()
+        return out
+    return run
+
+
 def whole_numbers(ids) -> list[int | None]:
     return [None if i is None else int(i) for i in ids]
 

@@ -29,7 +29,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.blocks import blocks, buckets_for, pack, text_bytes, unpack
+from kestrel.llm.blocks import (blocks, buckets_for, of_one, of_two, pack, release,
+                                text_bytes, unpack)
 
 MARK = "\x1f"
 BLOCK_BYTES = 8 << 20        # a block's distinct words and ids stand in memory together
@@ -104,6 +105,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *,
                 rows = [(k, block, pack([distinct[i] for i in at]))
                         for k, at in _dealt(distinct, buckets).items()]
                 yield pd.DataFrame(rows, columns=["bucket", "block", "words"])
+                del distinct, rows
+                release()
 
     def encode_bucket(rows: pd.DataFrame) -> pd.DataFrame:
         encoder, known, out = Encoder.of(shared.value, pattern), {}, []
@@ -142,10 +145,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *,
                              "ids": out, "n_tokens": [len(x) // 4 for x in out]})
 
     answers = (b.mapInPandas(ask, "bucket int, block long, words binary")
-               .groupBy("bucket").applyInPandas(encode_bucket,
+               .groupBy("bucket").applyInPandas(of_one(encode_bucket),
                                                 "block long, bucket int, ids binary"))
     return b.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        assemble, "id string, ids binary, n_tokens long").withColumn(
+        of_two(assemble), "id string, ids binary, n_tokens long").withColumn(
         "id", F.col("id").cast(kind))
 
 

@@ -37,8 +37,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.llm.blocks import (ANSWER, ASKED, BLOCK_BYTES, Hashes, blocks, buckets_for,
-                                by_bucket, meet, pack_arrays, question, shingles,
-                                text_bytes, unpack, unpack_arrays, whole_numbers)
+                                by_bucket, meet, of_one, of_two, pack_arrays, question,
+                                release, shingles, text_bytes, unpack, unpack_arrays,
+                                whole_numbers)
 from kestrel.llm.components import components
 from kestrel.llm.rows import row_digest
 from kestrel.session import materialize
@@ -211,6 +212,7 @@ def _profiles(docs, n, threshold, id_col, text_col, block_bytes):
                 block = batch.iloc[i:i + 1]
                 yield pd.DataFrame(question(block["block"].iat[0], *prefixes(block), buckets),
                                    columns=["bucket", "block", "asked"])
+                release()
 
     def frequencies(rows: pd.DataFrame) -> pd.DataFrame:
         """In how many classes a token occurs (0: in one only)."""
@@ -246,9 +248,10 @@ def _profiles(docs, n, threshold, id_col, text_col, block_bytes):
             out.append((i, len(t), c, rare if tokens else None, tokens))
         return pd.DataFrame(out, columns=cols).astype({"id": object})
 
-    answers = b.mapInPandas(ask, ASKED).groupBy("bucket").applyInPandas(frequencies, ANSWER)
+    answers = b.mapInPandas(ask, ASKED).groupBy("bucket").applyInPandas(
+        of_one(frequencies), ANSWER)
     return materialize(b.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        profile, "id long, size long, class binary, rare array<long>, tokens binary"),
+        of_two(profile), "id long, size long, class binary, rare array<long>, tokens binary"),
         "shingle-profiles")
 
 
@@ -335,7 +338,7 @@ def jaccard_join(docs: DataFrame, *, n: int = 5, threshold: int = 80,
     sets = (prof.where("tokens IS NOT NULL").select("c", "class", "tokens")
             .repartition("c").dropDuplicates(["c", "class"]))
     found = (cells.join(sets, "c").select("deal", "part", "i", "j", "piece", "c", "tokens")
-             .groupBy("deal").applyInPandas(_part_links(threshold), "a long, b long"))
+             .groupBy("deal").applyInPandas(of_one(_part_links(threshold)), "a long, b long"))
     joined = components(found, "a", "b").withColumnRenamed("node", "c")
     d = prof.select("id", "size", "c").join(joined, "c", "left").withColumn(
         "g", F.coalesce("component", "c"))

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.llm.blocks import release
+
 LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 4
 CACHE = 200_000          # scored words that a task remembers
@@ -42,12 +44,6 @@ def grams(word: str, n: int) -> list[str]:
     return [w[i:i + n] for i in range(len(w) - n + 1)] if n > 1 else list(word)
 
 
-def release() -> None:
-    """Give back what Arrow's pool holds of the batches of a task: its worker
-    stays, and later stages share the memory of the executor."""
-    pa.default_memory_pool().release_unused()
-
-
 def _count_words(batches):
     for b in batches:
         counts = Counter()
