@@ -19,11 +19,11 @@ from kestrel.llm import bpe, langid
 from kestrel.llm.exact_dedup import distinct_documents
 from kestrel.llm.jaccard_join import one_of_each
 from kestrel.llm.mix import mixed_documents
-from kestrel.session import materialize
+from kestrel.session import scratch_path, table_scope
 
-#: Text that a task of the near-duplicate stage holds at once: executors that
-#: run all stages have less room than those of the single query.
-NEAR_BLOCK_BYTES = 4 << 20
+#: Text that a task of the near-duplicate and BPE stages holds at once: executors
+#: that run all stages have less room than those of the single queries.
+BLOCK_BYTES = 4 << 20
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays (five words,
     0.8): the one with the smallest id. Texts without words stay."""
-    return one_of_each(docs, n=5, threshold=80, block_bytes=NEAR_BLOCK_BYTES)
+    return one_of_each(docs, n=5, threshold=80, block_bytes=BLOCK_BYTES)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     what they decode to."""
     import public_tokenizers
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    out = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    out = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN,
+                                block_bytes=BLOCK_BYTES), ranks)
     return out.select(F.col("id").alias("doc_id"), "n_tokens",
                       F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -72,9 +73,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``. The tables that a stage wrote for itself
+    are removed as soon as its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialize(docs, "stage-" + name.replace(" ", "-"))
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, "stage-" + name.replace(" ", "-"))
+        with table_scope(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -107,7 +107,7 @@ def materialize(df, name: str):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -125,7 +125,8 @@ def materialize_counted(df, name: str, **metrics):
     path = scratch_path(spark, name)
     obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")   # unique per call
     extra = [c.alias(k) for k, c in metrics.items()]
-    df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra).write.parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra).write.option(
+        "compression", "zstd").parquet(path)
     got = obs.get
     out = spark.read.schema(df.schema).parquet(path)
     if metrics:
