@@ -25,6 +25,7 @@ from kestrel.functions import arrays as A
 from kestrel.functions import text as T
 from kestrel.operators import basic, graph, ml, similarity
 from kestrel.session import scratch_path
+from kestrel.sources import files
 from kestrel.sources import tables as tb
 from kestrel.sources import text as src
 from kestrel.streaming import panes, replay, tags
@@ -333,6 +334,78 @@ def parse_people(spark, d):
     return src.parse_people(lines)
 
 
+# --- text files that Spark writes from the tables and reads back --------------------
+
+NAME_LIMIT_SHARE = 2         # ids below half the number of customers pass
+
+
+def _as_files(lines: DataFrame, name: str) -> str:
+    """Write lines as several text files of a new folder, one per core at least."""
+    spark = lines.sparkSession
+    path = scratch_path(spark, name)
+    lines.repartition(max(4, spark.sparkContext.defaultParallelism)).write.text(path)
+    return path
+
+
+_ORDER_LINES_SQL = """
+  SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
+         CASE WHEN o_orderkey % 89 = 1 THEN 'no amount'
+              WHEN o_orderkey % 97 = 3 THEN 'amount is not decimal(18,2)'
+              WHEN o_orderkey % 83 = 2 THEN 'customer_id is not long' END AS reason
+  FROM orders"""
+
+
+def _checked_orders(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Orders written as ``customer, order, amount`` files, some lines spoilt
+    (short, customer with a letter, amount "n/a"), read with their rejects."""
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    key = F.col("o_orderkey")
+    customer = F.when(key % 83 == 2, F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
+                      ).otherwise(F.col("o_custkey").cast("string"))
+    amount = F.when(key % 97 == 3, F.lit("n/a")).otherwise(
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    short = F.concat_ws(", ", customer, key.cast("string"))
+    whole = F.concat_ws(", ", customer, key.cast("string"), amount)
+    path = _as_files(o.select(F.when(key % 89 == 1, short).otherwise(whole).alias("value")),
+                     "order-files")
+    return files.read_checked(spark, path, ",", [
+        ("order_id", 1, "long"), ("amount", 2, "decimal(18,2)"), ("customer_id", 0, "long")],
+        trim=True)
+
+
+@query("file_orders_good", f"""
+  SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(amount AS DOUBLE) AS amount
+  FROM ({_ORDER_LINES_SQL}) WHERE reason IS NULL""")
+def file_orders_good(spark, d):
+    """Good rows of files with spoilt lines."""
+    good, _ = _checked_orders(spark, d)
+    return good.select("order_id", "customer_id", F.col("amount").cast("double").alias("amount"))
+
+
+@query("file_orders_rejects", f"""
+  SELECT reason, CASE WHEN o_orderkey % 83 = 2 THEN 'c' ELSE '' END || o_custkey || ', '
+         || o_orderkey || CASE WHEN o_orderkey % 89 = 1 THEN ''
+                               WHEN o_orderkey % 97 = 3 THEN ', n/a'
+                               ELSE ', ' || CAST(amount AS VARCHAR) END AS line
+  FROM ({_ORDER_LINES_SQL})
+  WHERE reason IS NOT NULL""")
+def file_orders_rejects(spark, d):
+    """The rejected lines of the same files with their reasons."""
+    _, rejects = _checked_orders(spark, d)
+    return rejects.select("reason", F.col("line").cast("string").alias("line"))
+
+
+@query("file_names_below", f"""
+  SELECT c_custkey AS id, c_name AS name FROM customer
+  WHERE c_mktsegment <> '{BAD_NAME_SEGMENT}'
+    AND c_custkey < (SELECT count(*) // {NAME_LIMIT_SHARE} FROM customer)""")
+def file_names_below(spark, d):
+    """Quoted names read from text files, ids below a limit only."""
+    path = _as_files(_name_lines(spark, d), "name-files")
+    limit = _t(spark, d, "customer").count() // NAME_LIMIT_SHARE
+    return src.read_quoted_names(spark, path, max_id=limit)
+
+
 @query("parse_titles", "SELECT p_partkey AS item_id, p_name AS title FROM part")
 def parse_titles(spark, d):
     """Pipe-delimited titles parsed back, duplicate ids checked."""
@@ -341,17 +414,20 @@ def parse_titles(spark, d):
     return src.parse_titles(lines, on_duplicate="error")
 
 
+def _name_lines(spark, d) -> DataFrame:
+    c = _t(spark, d, "customer")
+    good = F.concat(F.col("c_custkey").cast("string"), F.lit(' "'), F.col("c_name"), F.lit('"'))
+    bad = F.concat(F.col("c_custkey").cast("string"), F.lit(" "), F.col("c_name"))
+    return c.select(F.when(F.col("c_mktsegment") == BAD_NAME_SEGMENT, bad)
+                    .otherwise(good).alias("value"))
+
+
 @query("parse_quoted_names", f"""
   SELECT c_custkey AS id, c_name AS name FROM customer
   WHERE c_mktsegment <> '{BAD_NAME_SEGMENT}'""")
 def parse_quoted_names(spark, d):
     """Quoted names parsed back; lines without quotes are dropped."""
-    c = _t(spark, d, "customer")
-    good = F.concat(F.col("c_custkey").cast("string"), F.lit(' "'), F.col("c_name"), F.lit('"'))
-    bad = F.concat(F.col("c_custkey").cast("string"), F.lit(" "), F.col("c_name"))
-    lines = c.select(F.when(F.col("c_mktsegment") == BAD_NAME_SEGMENT, bad)
-                     .otherwise(good).alias("value"))
-    return src.parse_quoted_names(lines)
+    return src.parse_quoted_names(_name_lines(spark, d))
 
 
 @query("parse_ratings", """
