@@ -1,22 +1,26 @@
-"""Substring dedup by an anchored window join, instead of relative Lempel-Ziv
-parsing.
+"""Substring dedup by relative Lempel-Ziv parsing.
 
-A word is a duplicate if it lies in a window of ``window`` words that occurs
-in a document with a smaller id. That needs no position in the reference: a
-join of window hashes gives the smallest document id of each window, and
-the runs of windows with the same smallest id are reported as factors. A greedy
-parse would cover the same words, but would have to hold or fetch the text of
-all reference blocks to extend its factors.
+Documents are parsed against an index of all reference blocks that maps each
+window of ``window`` words to its first occurrence: the document with the
+smallest id, and the position there. A parse goes through a document greedily:
+a factor starts at the first window with an occurrence in a smaller document
+and grows by a word as long as the next window's first occurrence is the next
+position of the same document; the words of the factor are then those of the
+reference from ``position`` on (``factors`` reports both). Where that ends,
+the windows across the border have been looked up too: if they occur in a
+smaller document, the next factor starts there, overlapping the first. Every
+factor has at least ``window`` words, and all its words are duplicates.
 
 The index of the reference blocks is built in two steps. Each window has an
 anchor (its smallest ``gram``-word hash); blocks ask which of their anchors
 occur in two documents, which leaves unique text out. Of the windows at
-shared anchors they then ask for the smallest document id. Both questions
+shared anchors they then ask for the first occurrence. Both questions
 are keyed and combined (see ``blocks``): a line that a third of all documents
 hold costs one entry a block.
 
-Words and windows are compared by 64-bit hashes (windows of one bucket only,
-so the bucket adds to them).
+Windows are compared by a 64-bit hash and 32 bits of another one, both made of
+64-bit word hashes. Anchors are compared by 64 bits: a clash there only asks
+about some windows more.
 
 Defined results: null, empty and short texts lose nothing; a row with a null
 id is neither a reference nor cut; rows with the same id don't count as
@@ -38,21 +42,26 @@ NONE = np.iinfo(np.int64).max
 
 
 class Parsed:
-    """Words, windows and anchors of one document."""
+    """Words of one document, and its windows and anchors when asked for."""
 
     def __init__(self, raw: bytes, hashes: Hashes, window: int, gram: int):
         self.words = raw.split()
-        n = len(self.words) - window + 1
-        self.n_windows = max(0, n)
-        if n > 0:
-            h = hashes.of(self.words)
-            self.windows = shingles(h, window, 0xD6E8FEB86659FD93)
-            self._grams, self._span = shingles(h, gram), window - gram + 1
+        self.n_windows = max(0, len(self.words) - window + 1)
+        self._sizes = window, gram
+        if self.n_windows:
+            self._hashes = hashes.of(self.words)
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """Key and check of every window."""
+        size = self._sizes[0]
+        check = shingles(self._hashes, size, 0xC2B2AE3D27D4EB4F) >> np.uint64(32)
+        return shingles(self._hashes, size, 0xD6E8FEB86659FD93), check.astype(np.uint32)
 
     def anchors(self) -> np.ndarray:
         """The anchor of every window."""
-        g, w = self._grams, self._span
-        view = np.lib.stride_tricks.sliding_window_view(g, w)
+        window, gram = self._sizes
+        view = np.lib.stride_tricks.sliding_window_view(
+            shingles(self._hashes, gram), window - gram + 1)
         return view.min(axis=1)
 
 
@@ -71,34 +80,95 @@ def _shared_anchors(rows: pd.DataFrame) -> pd.DataFrame:
                         columns=["block", "bucket", "answer"])
 
 
+# key, check, first document and position there, largest document less the first
+WINDOW = (np.uint64, np.uint32, np.int64, np.uint32, np.int64)
+
+
+def _first(keys, checks, ids, at):
+    """Order by window, document and position; starts of the windows; the
+    window of every entry in that order."""
+    order = np.lexsort((at, ids, checks, keys))
+    k, c = keys[order], checks[order]
+    new = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])]
+    return order, np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def _ask_first(block: int, keys, checks, ids, at, buckets: int) -> list[tuple]:
+    """What a block asks about its windows, one row per bucket."""
+    if not len(keys):
+        return []
+    order, first, _ = _first(keys, checks, ids, at)
+    high = np.maximum.reduceat(ids[order], first)
+    keys, checks, ids, at = (x[order][first] for x in (keys, checks, ids, at))
+    return [(k, block, pack_arrays(keys[p], checks[p], ids[p], at[p], high[p] - ids[p]))
+            for k, p in by_bucket(keys, buckets)]
+
+
 def _references(rows: pd.DataFrame) -> pd.DataFrame:
-    """Windows that occur in a smaller document, with the smallest id."""
-    out, bucket = [], rows["bucket"].iat[0]
-    for b, keys, high, lo, _, _ in meet(rows):
-        dup = lo < high
-        if dup.any():
-            out.append((b, bucket, pack_arrays(keys[dup], lo[dup])))
+    """First occurrences of the windows that occur in a smaller document."""
+    parts = [unpack_arrays(a, *WINDOW) for a in rows["asked"]]
+    keys, checks, ids, at, span = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order, first, group = _first(keys, checks, ids, at)
+    low, place = np.empty_like(ids), np.empty_like(at)
+    low[order], place[order] = ids[order][first][group], at[order][first][group]
+    dup = low < ids + span
+    out, bucket, end = [], rows["bucket"].iat[0], 0
+    for b, p in zip(rows["block"], parts, strict=True):
+        begin, end = end, end + len(p[0])
+        mine = begin + np.flatnonzero(dup[begin:end])
+        if len(mine):
+            out.append((b, bucket, pack_arrays(keys[mine], checks[mine], low[mine],
+                                               place[mine])))
     return pd.DataFrame(out, columns=["block", "bucket", "answer"])
 
 
-def factors(reference: np.ndarray, window: int) -> list[tuple[int, int, int]]:
-    """Runs of windows: (start, length in words, reference id), from the smallest
-    reference id of every window (``NONE``: no reference)."""
+class Index:
+    """First occurrences of a block's windows, from the answers it got."""
+
+    def __init__(self, answers):
+        parts = [unpack_arrays(a, *WINDOW[:4]) for a in answers]
+        kept = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, kind)
+                for k, kind in enumerate(WINDOW[:4])]
+        order = np.lexsort((kept[1], kept[0]))
+        self.keys, self.checks, self.ids, self.at = (x[order] for x in kept)
+
+    def look_up(self, keys: np.ndarray, checks: np.ndarray):
+        """Document (``NONE``: none) and position of every window."""
+        ref, at = np.full(len(keys), NONE, np.int64), np.zeros(len(keys), np.int64)
+        near = np.searchsorted(self.keys, keys)
+        todo = np.arange(len(keys))
+        while len(todo):                   # again only where two windows share a key
+            todo = todo[near[todo] < len(self.keys)]
+            todo = todo[self.keys[near[todo]] == keys[todo]]
+            same = self.checks[near[todo]] == checks[todo]
+            hit = todo[same]
+            ref[hit], at[hit] = self.ids[near[hit]], self.at[near[hit]]
+            todo = todo[~same]
+            near[todo] += 1
+        return ref, at
+
+
+def factors(reference: np.ndarray, position: np.ndarray,
+            window: int) -> list[tuple[int, int, int, int]]:
+    """The parse: (start, length in words, reference id, position there), from
+    the first occurrence of every window (``NONE``: no reference)."""
     hit = np.flatnonzero(reference != NONE)
     if not len(hit):
         return []
-    new = np.r_[True, (np.diff(hit) > 1) | (np.diff(reference[hit]) != 0)]
-    starts = hit[new]
-    ends = hit[np.r_[np.flatnonzero(new)[1:] - 1, len(hit) - 1]]
-    return [(int(s), int(e - s + window), int(reference[s]))
-            for s, e in zip(starts, ends, strict=True)]
+    ref, at = reference[hit], position[hit]
+    new = np.r_[True, (np.diff(hit) > 1) | (np.diff(ref) != 0) | (np.diff(at) != 1)]
+    first = np.flatnonzero(new)
+    starts, ends = hit[first], hit[np.r_[first[1:] - 1, len(hit) - 1]]
+    return [(int(s), int(e - s + window), int(r), int(p))
+            for s, e, r, p in zip(starts, ends, ref[first], at[first], strict=True)]
 
 
 def substring_dedup(docs: DataFrame, *, window: int = 13, gram: int = 5,
                     id_col: str = "doc_id", text_col: str = "text",
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept (text of the words
-    that stay, joined by one space) and factors (start, length, reference)."""
+    that stay, joined by one space) and factors (start, length, reference,
+    position: the words of the reference from there on)."""
     total = text_bytes(docs, text_col)
     buckets = buckets_for(total)
     b = blocks(docs, id_col, text_col, total, block_bytes)
@@ -142,43 +212,43 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, gram: int = 5,
         if not len(shared):
             return pd.DataFrame({"bucket": [], "block": [], "asked": []})
 
-        def at_shared(p):
-            a = p.anchors()
-            near = np.searchsorted(shared, a)
-            near[near == len(shared)] = 0
-            return p.windows[shared[near] == a]
-
-        keys, ids = occurrences(block, at_shared)
-        return pd.DataFrame(question(block["block"].iat[0], keys, ids, buckets),
+        parts = []
+        for i, p in _documents(block, window, gram):
+            if p.n_windows and i is not None:
+                a = p.anchors()
+                near = np.searchsorted(shared, a)
+                near[near == len(shared)] = 0
+                at = np.flatnonzero(shared[near] == a)
+                if len(at):
+                    key, check = p.windows()
+                    parts.append((key[at], check[at], np.full(len(at), i, np.int64),
+                                  at.astype(np.uint32)))
+        entries = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [[]] * 4
+        return pd.DataFrame(_ask_first(block["block"].iat[0], *entries, buckets),
                             columns=["bucket", "block", "asked"])
 
     def parse(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(block):
             return pd.DataFrame({c: [] for c in
                                  ("id", "n_words", "n_removed", "kept", "factors")})
-        parts = [unpack_arrays(a, np.uint64, np.int64) for a in answers["answer"]]
-        keys = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
-        refs = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
-        order = np.argsort(keys, kind="stable")
-        keys, refs = keys[order], refs[order]
+        index = Index(answers["answer"])
         out = []
         for i, p in _documents(block, window, gram):
             found, kept = [], p.words
-            if p.n_windows and len(keys) and i is not None:
-                near = np.searchsorted(keys, p.windows)
-                near[near == len(keys)] = 0
-                ref = np.where((keys[near] == p.windows) & (refs[near] < i), refs[near], NONE)
-                found = factors(ref, window)
+            if p.n_windows and len(index.keys) and i is not None:
+                ref, at = index.look_up(*p.windows())
+                found = factors(np.where(ref < i, ref, NONE), at, window)
                 if found:
                     gone = np.zeros(len(p.words) + 1, np.int64)
-                    for s, n, _ in found:
+                    for s, n, _, _ in found:
                         gone[s] += 1
                         gone[s + n] -= 1
                     kept = [w for w, g in zip(p.words, np.cumsum(gone[:-1]).tolist(), strict=True)
                             if not g]
             out.append((i, len(p.words), len(p.words) - len(kept),
                         b" ".join(kept).decode("utf-8", "replace"),
-                        [{"start": s, "length": n, "reference": r} for s, n, r in found]))
+                        [{"start": s, "length": n, "reference": r, "position": q}
+                         for s, n, r, q in found]))
         got = pd.DataFrame(out, columns=["id", "n_words", "n_removed", "kept", "factors"])
         return got.astype({"id": object})
 
@@ -189,4 +259,4 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, gram: int = 5,
     refs = asked.groupBy("bucket").applyInPandas(_references, ANSWER)
     return b.groupBy("block").cogroup(refs.groupBy("block")).applyInPandas(
         parse, "id long, n_words long, n_removed long, kept string, "
-               "factors array<struct<start:long,length:long,reference:long>>")
+               "factors array<struct<start:long,length:long,reference:long,position:long>>")

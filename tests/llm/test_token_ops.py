@@ -1,5 +1,7 @@
 """BPE, token counts and substring dedup against brute force."""
 
+import random
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -11,7 +13,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from kestrel.llm import bpe
-from kestrel.llm.substring import NONE, factors, substring_dedup
+from kestrel.llm.blocks import pack_arrays
+from kestrel.llm.substring import NONE, Index, factors, substring_dedup
 from kestrel.llm.token_count import count_tokens
 from tests.llm.common import documents, empty, plain
 
@@ -87,6 +90,16 @@ def test_substring_by_brute_force(spark, block_bytes):
     for r in got:
         covered = {x for f in r.factors for x in range(f.start, f.start + f.length)}
         assert len(covered) == r.n_removed and all(f.length >= 13 for f in r.factors)
+    replayed, texts = 0, {}
+    for i, w in docs:
+        texts.setdefault(i, []).append(w)
+    for r in got:                      # rows with the same id: any of their texts
+        for f in r.factors:
+            from_ref = {tuple(w[f.position:f.position + f.length]) for w in texts[f.reference]}
+            mine = {tuple(w[f.start:f.start + f.length]) for w in texts[int(r.id)]}
+            assert f.reference < int(r.id) and from_ref & mine
+            replayed += 1
+    assert replayed
 
 
 def test_substring_empty_table(spark):
@@ -94,5 +107,52 @@ def test_substring_empty_table(spark):
 
 
 def test_factors_end_with_their_reference():
-    ref = np.array([NONE, 4, 4, 2, NONE, 7], np.int64)
-    assert factors(ref, 3) == [(1, 4, 4), (3, 3, 2), (5, 3, 7)]
+    ref = np.array([NONE, 4, 4, 2, NONE, 7, 7, 7], np.int64)
+    at = np.array([0, 8, 9, 10, 0, 1, 5, 6], np.int64)
+    assert factors(ref, at, 3) == [(1, 4, 4, 8), (3, 3, 2, 10), (5, 3, 7, 1), (6, 4, 7, 5)]
+
+
+def test_parse_follows_first_occurrences(spark):
+    rng = random.Random(9)
+    base = [[f"w{rng.randrange(400)}" for _ in range(120)] for _ in range(6)]
+    rows = list(base)
+    for _ in range(24):                                # slices of earlier documents
+        words = []
+        for _ in range(rng.randrange(1, 6)):
+            w, at = rng.choice(rows), rng.randrange(100)
+            words += [*w[at:at + rng.randrange(5, 60)], *(f"x{rng.randrange(9)}",) * rng.randrange(2)]
+        rows.append(words)
+    ids = rng.sample(range(1000), len(rows))
+    first = {}
+    for i, w in sorted(zip(ids, rows, strict=True)):
+        for s in range(len(w) - 12):
+            first.setdefault(tuple(w[s:s + 13]), (i, s))
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in zip(ids, rows, strict=True)],
+                              "doc_id long, text string").repartition(5)
+    got = {int(r.id): r for r in substring_dedup(d, block_bytes=900).collect()}
+    total = 0
+    for i, w in zip(ids, rows, strict=True):
+        want, s = [], 0
+        while s < len(w) - 12:                         # the greedy parse, word by word
+            r, q = first[tuple(w[s:s + 13])]
+            if r < i:
+                n = 13
+                while first.get(tuple(w[s + n - 12:s + n + 1])) == (r, q + n - 12):
+                    n += 1
+                want.append((s, n, r, q))
+                assert rows[ids.index(r)][q:q + n] == w[s:s + n]
+                s += n - 12
+            else:
+                s += 1
+        assert [tuple(f) for f in got[i].factors] == want
+        total += len(want)
+    assert total > 30
+
+
+def test_windows_that_share_a_key_are_told_apart():
+    kinds = (np.uint64, np.uint32, np.int64, np.uint32)
+    index = Index([pack_arrays(*(np.array(x, k) for x, k in zip(a, kinds, strict=True)))
+                   for a in (([5, 9], [1, 1], [20, 40], [3, 4]), ([5], [2], [30], [6]))])
+    ref, at = index.look_up(np.array([5, 5, 5, 9, 1], np.uint64),
+                            np.array([2, 1, 3, 1, 1], np.uint32))
+    assert ref.tolist() == [30, 20, NONE, 40, NONE] and at[[0, 1, 3]].tolist() == [6, 3, 4]
