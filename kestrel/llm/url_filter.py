@@ -15,9 +15,11 @@ gives an empty result; without a rule the verdict is ``default``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.session import materialize
+
 SHORT = 8          # hex digits of the digest that the join compares
 
 
@@ -45,9 +47,9 @@ def rule_table(rules: DataFrame) -> DataFrame:
     host = _lower(F.col("host"))
     r = rules.select("action", host.alias("host"), "path",
                      F.concat(host, "path").alias("rule")).distinct()
-    order = Window.orderBy(F.char_length("rule"), F.char_length("host"),
-                           F.col("action").asc(), "rule")
-    return r.select("action", "rule", F.row_number().over(order).cast("long").alias("rank"),
+    return r.select(F.struct(F.char_length("rule").alias("size"),
+                             F.char_length("host").alias("host_size"),
+                             "action", "rule").alias("rank"),
                     _digest(F.col("host"), F.col("path")).alias("digest"),
                     F.size(F.split("host", r"\.")).alias("labels"),
                     F.char_length("path").alias("length"))
@@ -83,8 +85,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, url_col: str = "url",
     hit = expr.join(r, (F.substring("d", 1, SHORT) == F.substring("digest", 1, SHORT))
                     & (F.col("d") == F.col("digest")))
     won = hit.groupBy("host", "path").agg(F.max("rank").alias("rank"))
-    found = won.join(r.select("rank", "rule", "action"), "rank").select(
-        "host", "path", "rule", "action")
-    return (p.join(found, ["host", "path"], "left")
-            .select("id", "host", "path", "rule",
-                    F.coalesce("action", F.lit(default)).alias("verdict")))
+    # a table of its own, so that the pages of one hot url can be split in the join
+    found = materialize(won.select("host", "path", "rank.rule", "rank.action"), "url-rules")
+    judged = p.where(F.col("host") != "").join(found, ["host", "path"], "left")
+    bare = p.where(F.col("host") == "").select(
+        "*", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("action"))
+    return judged.unionByName(bare).select(
+        "id", "host", "path", "rule", F.coalesce("action", F.lit(default)).alias("verdict"))

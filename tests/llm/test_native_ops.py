@@ -121,3 +121,20 @@ def test_url_rules(spark):
     few = spark.createDataFrame([], "page_id long, url string")
     assert judge_urls(few, spark.createDataFrame(rules, "action string, host string, path string")
                       ).count() == 0
+
+
+def test_one_url_and_null_urls_hold_most_rows(spark):
+    pages = spark.range(6000).select(F.col("id").alias("page_id"), F.expr(
+        "CASE WHEN id % 2 = 0 THEN 'http://hot.net/a' WHEN id % 3 = 0 THEN NULL "
+        "ELSE concat('http://h', id % 50, '.org/fr/', id) END").alias("url"))
+    rules = spark.createDataFrame([("block", "net", "/"), ("allow", "org", "/fr/")],
+                                  "action string, host string, path string")
+    got = judge_urls(pages, rules, default="block")
+    by = {r.rule: (r.n, r.ids, r.verdicts) for r in got.groupBy("rule").agg(
+        F.count("*").alias("n"), F.countDistinct("id").alias("ids"),
+        F.collect_set("verdict").alias("verdicts")).collect()}
+    assert by == {"net/": (3000, 3000, ["block"]), None: (1000, 1000, ["block"]),
+                  "org/fr/": (2000, 2000, ["allow"])}
+    # pages without a host aren't shuffled, the join's right side is a plain scan
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "Aggregate" not in plan
