@@ -8,9 +8,9 @@ and links are united to components.
 Trees lose more pairs the deeper they are, so their number follows from a
 measurement: the share of pairs that meet in a leaf, for partners planted at
 the threshold and for the links of a query set, found by comparing it with
-all vectors. Trees are added until both shares reach ``recall``; where that
-many trees would compare no less than all pairs, and for small tables, all
-pairs are compared.
+all vectors. Trees are added until both shares reach ``recall``. Tables of all
+sizes go through the forest: a leaf has about ``4 * sqrt(rows)`` rows, 32 at
+least and ``leaf_rows`` at most.
 
 The trees are fitted on a bounded sample (``sample_rows`` vectors, and again
 as many of each leaf that is still too large), every vector is routed. A leaf
@@ -256,7 +256,7 @@ def _one_length(reps: DataFrame, dims: int, threshold, trees, leaf_rows, cell_ro
     n = reps.count()
     # half the typical difference of a threshold pair along one direction
     margin = spill * float(np.sqrt(max(0.0, 2 - 2 * threshold) / dims))
-    whole = reps.select("id", F.lit(0).cast("long").alias("code"))
+    leaf_rows = min(leaf_rows, max(32, math.ceil(4 * math.sqrt(n))))
 
     def draw(rows, most=sample_rows, salt=seed):
         """Hash sample of about ``most`` of so many rows."""
@@ -266,9 +266,9 @@ def _one_length(reps: DataFrame, dims: int, threshold, trees, leaf_rows, cell_ro
     def forest():
         """(id, code) of as many trees as the recall takes."""
         queries = reps.where(draw(F.lit(n), query_rows, f"queries {seed}")).select("id", "vector")
+        if queries.isEmpty():                        # the hash drew none of a few rows
+            queries = reps.select("id", "vector").orderBy("id").limit(1)
         asked = queries.collect()                                        # bounded
-        if not asked:
-            return whole
         planted = queries.mapInPandas(_partners(threshold, seed),
                                       "id long, probe int, vector array<double>")
         every = materialize(reps.select("id", F.lit(0).alias("probe"),
@@ -303,14 +303,12 @@ def _one_length(reps: DataFrame, dims: int, threshold, trees, leaf_rows, cell_ro
             want = 2 * total
             if share > 0:
                 want = min(want, math.ceil(total * math.log(1 - recall) / math.log(1 - share)))
-            want = max(want, total + 1)
-            pairs = real.groupBy("code").agg(F.count(F.lit(1)).cast("double").alias("rows")).agg(
-                F.sum(F.col("rows") * F.col("rows"))).first()[0]
-            if pairs * want / total >= float(n) * n:
-                return whole
-            more = want - total
-
-    assign = whole if n <= trees * leaf_rows or recall >= 1 else forest()
+            more = max(want, total + 1) - total
+
+    if recall >= 1:                              # asked for: all pairs, in cells
+        assign = reps.select("id", F.lit(0).cast("long").alias("code"))
+    else:
+        assign = forest()
     counts = assign.groupBy("code").agg(F.count(F.lit(1)).alias("rows"))
     large = counts.where(F.col("rows") > cell_rows).select(
         "code", F.ceil(F.col("rows") / cell_rows).cast("int").alias("k"))
@@ -331,7 +329,7 @@ def embed_dedup(vectors: DataFrame, *, threshold: float = 0.9, trees: int = 8,
                 recall: float = 0.95, query_rows: int = 1000, id_col: str = "vec_id",
                 vector_col: str = "embedding") -> DataFrame:
     """One row per input row: id, n_links, component_id, kept. ``trees`` is the
-    number to start with; ``recall`` 1 compares all pairs."""
+    number to start with; ``recall`` 1 compares all pairs, the only way to do so."""
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
     big = F.transform("vector", lambda c: c.cast("double"))
     finite = F.forall(big, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))

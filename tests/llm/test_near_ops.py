@@ -141,6 +141,31 @@ def test_embeddings_near_the_threshold_in_deep_trees(spark):
     assert (mine <= degree).all() and mine.sum() >= 0.9 * degree.sum() > 0
 
 
+@pytest.mark.parametrize("n", [40, 500])
+def test_small_tables_go_through_the_forest(spark, monkeypatch, n):
+    from kestrel.llm import embed_dedup as module
+    rng = np.random.default_rng(n)
+    x = rng.standard_normal((n, 64))
+    x[n // 2:] = x[:n - n // 2] + 0.3 * rng.standard_normal((n - n // 2, 64))   # cosine ~0.96
+    seen, leaves = [], module._leaves
+
+    def spy(*args):
+        got = leaves(*args)
+        seen.extend(r["count"] for r in got.where("probe = 0").groupBy("code").count().collect())
+        return got
+
+    monkeypatch.setattr(module, "_leaves", spy)
+    d = spark.createDataFrame([(i, [float(v) for v in e]) for i, e in enumerate(x)],
+                              "vec_id long, embedding array<float>")
+    got = {r.id: r.n_links for r in embed_dedup(d).collect()}
+    assert len(seen) >= 16 and max(seen) < n              # 8 trees of two leaves or more
+    m = np.float32(x).astype(float)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    degree = (m @ m.T >= 0.9).sum(1) - 1
+    mine = np.array([got[i] for i in range(n)])
+    assert (mine <= degree).all() and mine.sum() >= 0.9 * degree.sum() > 0
+
+
 def test_jaccard_pieces_are_cut_by_bytes(spark):
     from kestrel.llm.jaccard_join import _cells
     # one part of 100 sets of 8 MB, and 3,000 parts of one set of 32 MB
