@@ -136,16 +136,28 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(h: np.ndarray, k: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
-    """Hashes of all runs of k consecutive words."""
+def runs(h: np.ndarray, k: int, base: int) -> np.ndarray:
+    """Polynomials of all runs of k consecutive words, put together from runs of
+    1, 2, 4, ... words."""
     n = len(h) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out, b = np.zeros(n, np.uint64), np.uint64(base)
-    for i in range(k):
-        out *= b
-        out += h[i:i + n]
-    return mixed(out)
+    out, done, part, size, power = None, 0, h, 1, np.uint64(base)   # power: base ** size
+    with np.errstate(over="ignore"):
+        while True:
+            if k & size:
+                add = part[done:done + n]
+                out = add.copy() if out is None else out * power + add
+                done += size
+            if 2 * size > k:
+                return out
+            part = part[:-size] * power + part[size:]
+            size, power = 2 * size, power * power
+
+
+def shingles(h: np.ndarray, k: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+    """Hashes of all runs of k consecutive words."""
+    return mixed(runs(h, k, base))
 
 
 def by_bucket(keys: np.ndarray, buckets: int):

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from kestrel.llm.blocks import (ANSWER, ASKED, BLOCK_BYTES, Hashes, blocks, buckets_for,
-                                by_bucket, meet, pack_arrays, question, shingles,
+                                by_bucket, meet, pack_arrays, question, runs, shingles,
                                 text_bytes, unpack, unpack_arrays, whole_numbers)
 
 NONE = np.iinfo(np.int64).max
@@ -51,18 +51,24 @@ class Parsed:
         if self.n_windows:
             self._hashes = hashes.of(self.words)
 
+    def forget_words(self) -> "Parsed":
+        self.words = None
+        return self
+
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Key and check of every window."""
         size = self._sizes[0]
-        check = shingles(self._hashes, size, 0xC2B2AE3D27D4EB4F) >> np.uint64(32)
+        check = runs(self._hashes, size, 0xC2B2AE3D27D4EB4F) >> np.uint64(32)
         return shingles(self._hashes, size, 0xD6E8FEB86659FD93), check.astype(np.uint32)
 
     def anchors(self) -> np.ndarray:
         """The anchor of every window."""
         window, gram = self._sizes
-        view = np.lib.stride_tricks.sliding_window_view(
-            shingles(self._hashes, gram), window - gram + 1)
-        return view.min(axis=1)
+        low, span, size = shingles(self._hashes, gram), window - gram + 1, 1
+        while size < span:                     # minima of 2, 4, ..., span neighbours
+            step = min(size, span - size)
+            low, size = np.minimum(low[:-step], low[step:]), size + step
+        return low
 
 
 def _documents(block: pd.DataFrame, window: int, gram: int):
@@ -84,22 +90,28 @@ def _shared_anchors(rows: pd.DataFrame) -> pd.DataFrame:
 WINDOW = (np.uint64, np.uint32, np.int64, np.uint32, np.int64)
 
 
-def _first(keys, checks, ids, at):
-    """Order by window, document and position; starts of the windows; the
-    window of every entry in that order."""
-    order = np.lexsort((at, ids, checks, keys))
-    k, c = keys[order], checks[order]
-    new = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])]
-    return order, np.flatnonzero(new), np.cumsum(new) - 1
+def _order(keys, checks):
+    """Order by window, otherwise as given, and the starts of the windows."""
+    order = np.argsort(keys, kind="stable")
+    for _ in range(2):
+        k, c = keys[order], checks[order]
+        apart = k[1:] != k[:-1]
+        clash = ~apart & (c[1:] != c[:-1])
+        if not clash.any():
+            break
+        order = np.lexsort((checks, keys))     # two windows of one key
+    return order, np.flatnonzero(np.r_[True, apart | clash])
 
 
 def _ask_first(block: int, keys, checks, ids, at, buckets: int) -> list[tuple]:
-    """What a block asks about its windows, one row per bucket."""
+    """What a block asks about its windows, given by document and position;
+    one row per bucket."""
     if not len(keys):
         return []
-    order, first, _ = _first(keys, checks, ids, at)
-    high = np.maximum.reduceat(ids[order], first)
-    keys, checks, ids, at = (x[order][first] for x in (keys, checks, ids, at))
+    order, start = _order(keys, checks)
+    high = ids[order][np.r_[start[1:], len(order)] - 1]       # ids ascend in a window
+    first = order[start]
+    keys, checks, ids, at = keys[first], checks[first], ids[first], at[first]
     return [(k, block, pack_arrays(keys[p], checks[p], ids[p], at[p], high[p] - ids[p]))
             for k, p in by_bucket(keys, buckets)]
 
@@ -108,9 +120,14 @@ def _references(rows: pd.DataFrame) -> pd.DataFrame:
     """First occurrences of the windows that occur in a smaller document."""
     parts = [unpack_arrays(a, *WINDOW) for a in rows["asked"]]
     keys, checks, ids, at, span = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order, first, group = _first(keys, checks, ids, at)
+    order, start = _order(keys, checks)
+    size = np.diff(np.r_[start, len(order)])
+    ordered = ids[order]
+    lows = np.repeat(np.minimum.reduceat(ordered, start), size)
+    places = np.where(ordered == lows, at[order], np.iinfo(np.uint32).max)
     low, place = np.empty_like(ids), np.empty_like(at)
-    low[order], place[order] = ids[order][first][group], at[order][first][group]
+    low[order] = lows
+    place[order] = np.repeat(np.minimum.reduceat(places, start), size)
     dup = low < ids + span
     out, bucket, end = [], rows["bucket"].iat[0], 0
     for b, p in zip(rows["block"], parts, strict=True):
@@ -129,22 +146,25 @@ class Index:
         parts = [unpack_arrays(a, *WINDOW[:4]) for a in answers]
         kept = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, kind)
                 for k, kind in enumerate(WINDOW[:4])]
-        order = np.lexsort((kept[1], kept[0]))
+        order = np.argsort(kept[0], kind="stable")
         self.keys, self.checks, self.ids, self.at = (x[order] for x in kept)
 
     def look_up(self, keys: np.ndarray, checks: np.ndarray):
         """Document (``NONE``: none) and position of every window."""
         ref, at = np.full(len(keys), NONE, np.int64), np.zeros(len(keys), np.int64)
+        if not len(self.keys):
+            return ref, at
         near = np.searchsorted(self.keys, keys)
-        todo = np.arange(len(keys))
+        near[near == len(self.keys)] = 0
+        todo = np.flatnonzero(self.keys[near] == keys)
         while len(todo):                   # again only where two windows share a key
-            todo = todo[near[todo] < len(self.keys)]
-            todo = todo[self.keys[near[todo]] == keys[todo]]
             same = self.checks[near[todo]] == checks[todo]
             hit = todo[same]
             ref[hit], at[hit] = self.ids[near[hit]], self.at[near[hit]]
             todo = todo[~same]
             near[todo] += 1
+            todo = todo[near[todo] < len(self.keys)]
+            todo = todo[self.keys[near[todo]] == keys[todo]]
         return ref, at
 
 
@@ -178,33 +198,34 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, gram: int = 5,
             for i in range(len(batch)):
                 yield batch.iloc[i:i + 1]
 
-    def occurrences(block, values):
-        """Values of all windows of documents with an id, and the ids."""
-        keys, ids = [], []
-        for i, p in _documents(block, window, gram):
-            if p.n_windows and i is not None:
-                v = values(p)
-                keys.append(v)
-                ids.append(np.full(len(v), i, np.int64))
-        if not keys:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return np.concatenate(keys), np.concatenate(ids)
-
-    def distinct_anchors(p):
-        a = p.anchors()
+    def windowed(block):
+        """(id, document) of the documents that can be referred to."""
+        return ((i, p) for i, p in _documents(block, window, gram)
+                if p.n_windows and i is not None)
+
+    def distinct(a):
         return a[np.r_[True, a[1:] != a[:-1]]]
 
     def ask_anchors(batches):
         for block in each(batches):
-            keys, ids = occurrences(block, distinct_anchors)
-            yield pd.DataFrame(question(block["block"].iat[0], keys, ids, buckets),
+            keys, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for i, p in windowed(block):
+                keys.append(distinct(p.anchors()))
+                ids.append(np.full(len(keys[-1]), i, np.int64))
+            yield pd.DataFrame(question(block["block"].iat[0], np.concatenate(keys),
+                                        np.concatenate(ids), buckets),
                                columns=["bucket", "block", "asked"])
 
     def ask_windows(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(block):
             return pd.DataFrame({"bucket": [], "block": [], "asked": []})
         masks = dict(zip(answers["bucket"], answers["answer"], strict=True))
-        keys = np.unique(occurrences(block, distinct_anchors)[0])
+        # by id; what is kept of a document are its word hashes, not its words
+        docs = sorted(((i, p.forget_words()) for i, p in windowed(block)),
+                      key=lambda d: d[0])
+        if not docs:
+            return pd.DataFrame({"bucket": [], "block": [], "asked": []})
+        keys = np.unique(np.concatenate([distinct(p.anchors()) for _, p in docs]))
         shared = [keys[at][np.unpackbits(np.frombuffer(masks[k], np.uint8),
                                          count=len(at)).astype(bool)]
                   for k, at in by_bucket(keys, buckets)]
@@ -213,16 +234,15 @@ def substring_dedup(docs: DataFrame, *, window: int = 13, gram: int = 5,
             return pd.DataFrame({"bucket": [], "block": [], "asked": []})
 
         parts = []
-        for i, p in _documents(block, window, gram):
-            if p.n_windows and i is not None:
-                a = p.anchors()
-                near = np.searchsorted(shared, a)
-                near[near == len(shared)] = 0
-                at = np.flatnonzero(shared[near] == a)
-                if len(at):
-                    key, check = p.windows()
-                    parts.append((key[at], check[at], np.full(len(at), i, np.int64),
-                                  at.astype(np.uint32)))
+        for i, p in docs:
+            a = p.anchors()
+            near = np.searchsorted(shared, a)
+            near[near == len(shared)] = 0
+            at = np.flatnonzero(shared[near] == a)
+            if len(at):
+                key, check = p.windows()
+                parts.append((key[at], check[at], np.full(len(at), i, np.int64),
+                              at.astype(np.uint32)))
         entries = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [[]] * 4
         return pd.DataFrame(_ask_first(block["block"].iat[0], *entries, buckets),
                             columns=["bucket", "block", "asked"])

@@ -149,6 +149,13 @@ def test_parse_follows_first_occurrences(spark):
     assert total > 30
 
 
+def test_order_of_windows_that_share_a_key():
+    from kestrel.llm.substring import _order
+    keys, checks = np.array([5, 7, 5, 5], np.uint64), np.array([1, 0, 2, 1], np.uint32)
+    order, start = _order(keys, checks)
+    assert order.tolist() == [0, 3, 2, 1] and start.tolist() == [0, 2, 3]
+
+
 def test_windows_that_share_a_key_are_told_apart():
     kinds = (np.uint64, np.uint32, np.int64, np.uint32)
     index = Index([pack_arrays(*(np.array(x, k) for x, k in zip(a, kinds, strict=True)))
