@@ -108,7 +108,10 @@ class Model:
         return ((lang, score) for lang, score, _ in self.decide(texts, memory))
 
     def decide(self, texts, memory: "Memory | None" = None):
-        """(language, score, whether the text has a language) per text: one
+        """(language, score, whether the text has a language) per text. The score
+        weighs the mean log frequencies of all words as those of 40 words at most
+        (the language doesn't depend on that; a long text's score would round to
+        1 else). A text
         without letters has none, nor has one of which the model knows no word
         and no n-gram. A model without languages denies none with letters."""
         memory = Memory(self) if memory is None else memory
