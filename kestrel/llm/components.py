@@ -3,7 +3,9 @@
 Each round moves every vertex's larger neighbours, then its smaller ones, to
 its smallest neighbour, until all vertices point at their component's
 smallest. Rounds are written to the shared folder (never collected); the
-groups are minima, combined before the shuffle.
+groups are minima, combined before the shuffle. A round writes its minima as
+tables of their own, so that both sides of a join are plain exchanges and
+Spark can split the rows of a star's centre over tasks.
 """
 
 from __future__ import annotations
@@ -11,17 +13,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.session import materialize_counted
+from kestrel.session import materialize, materialize_counted
 
 
 def _stars(edges: DataFrame) -> DataFrame:
     """One round on edges (u, v)."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select(
-        "u", F.least("u", "m").alias("m"))
+    low = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select(
+        "u", F.least("u", "m").alias("m")), "least")
     large = (both.join(low, "u").where(F.col("v") > F.col("u"))
              .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-    low = large.groupBy("u").agg(F.min("v").alias("m"))
+    large = materialize(large, "large-stars")
+    low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = large.join(low, "u").where(F.col("v") != F.col("m")).select(
         F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct()

@@ -328,7 +328,8 @@ def jaccard_join(docs: DataFrame, *, n: int = 5, threshold: int = 80,
     prof = _profiles(docs, n, threshold, id_col, text_col, block_bytes)
     prof = prof.withColumn("c", F.when(F.col("size") > 0, F.xxhash64("class")))
     rare = prof.where("rare IS NOT NULL").select("c", F.explode("rare").alias("token"))
-    low = rare.groupBy("token").agg(F.min("c").alias("low"))
+    low = materialize(rare.groupBy("token").agg(F.min("c").alias("low")),
+                      "least-classes")    # a table of its own: a hot token can be split
     parts = components(rare.join(low, "token"), "c", "low")
     sizes = prof.where("tokens IS NOT NULL").select("c", "size").distinct()
     parts = sizes.join(parts.select(F.col("node").alias("c"), F.col("component").alias("part")),

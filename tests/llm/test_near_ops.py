@@ -31,6 +31,34 @@ def test_components(spark):
     assert components(e.where("false"), "a", "b").count() == 0
 
 
+def test_components_of_a_hot_centre(spark):
+    """Half of all edges meet in one vertex, whose rows Spark may split."""
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    pairs = [(5, 10 + i) for i in range(4000)]
+    pairs += [(10_000 + 3 * i, 10_001 + 3 * i) for i in range(3000)]
+    pairs += [(10_001 + 3 * i, 10_002 + 3 * i) for i in range(0, 3000, 3)] + [(4009, 10_000)]
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        e = spark.createDataFrame(pairs, "a long, b long")
+        got = {r.node: r.component for r in components(e, "a", "b").collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    want = {}
+    for a, b in pairs[4000:-1]:
+        want[a] = want.get(a, a)
+        want[b] = want[a]
+    want |= {v: 5 for v, root in list(want.items()) if root == 10_000}
+    want |= {v: 5 for v in (5, *range(10, 4010))}
+    assert got == want
+
+
 def shingle_set(text, n):
     w = text.encode().lower().split()
     k = min(n, len(w))
