@@ -24,7 +24,6 @@ from itertools import count
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +32,7 @@ from kestrel.llm.blocks import (blocks, buckets_for, of_one, of_two, pack, relea
                                 text_bytes, unpack)
 
 MARK = "\x1f"
-BLOCK_BYTES = 8 << 20        # a block's distinct words and ids stand in memory together
+BLOCK_BYTES = 6 << 20        # a block's distinct words and ids stand in memory together
 #: A space that continues a run of white space and is not followed by a word:
 #: only there can a pre-token reach over a space.
 UNSAFE = re.compile(r"\s (?!\S)")
@@ -154,16 +153,16 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *,
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``encoded`` with ``decoded`` (bytes): the token-byte table joined to
-    each id in order. The table is the vocabulary, a bounded broadcast."""
+    each id in order. The table is the vocabulary, a bounded broadcast. Rows
+    travel in Spark's small batches of rows: an Arrow batch takes 10,000 rows
+    of any length."""
     shared = encoded.sparkSession.sparkContext.broadcast(
         [w for w, _ in sorted(ranks.items(), key=lambda x: x[1])]
         if sorted(ranks.values()) == list(range(len(ranks))) else
         {i: w for w, i in ranks.items()})
 
-    @F.arrow_udf("binary")
-    def join_bytes(ids: pa.Array) -> pa.Array:
-        of = shared.value.__getitem__
-        rows = (b"".join(map(of, np.frombuffer(x.as_py(), "<u4").tolist())) for x in ids)
-        return pa.array(rows, pa.binary(), size=len(ids))
+    def join_bytes(ids: bytes) -> bytes:
+        return b"".join(map(shared.value.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
+    join_bytes = F.udf(join_bytes, "binary", useArrow=False)
     return encoded.withColumn("decoded", join_bytes("ids"))

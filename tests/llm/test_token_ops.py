@@ -47,6 +47,13 @@ def test_bpe_is_the_librarys(spark, library, block_bytes):
     assert all(r.n_tokens * 4 == len(r.ids) for r in got)
 
 
+def test_decoding_takes_small_batches_of_rows(spark):
+    # an Arrow batch would hold 10,000 rows of ids, however long
+    out = bpe.decode(bpe.encode(documents(spark), RANKS, PATTERN), RANKS)
+    plan = out._jdf.queryExecution().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+
+
 def test_bpe_empty_table(spark):
     assert bpe.encode(empty(spark), RANKS, PATTERN).count() == 0
 
