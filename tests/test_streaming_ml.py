@@ -224,6 +224,30 @@ def test_ids_beyond_32_bits_and_of_strings(spark):
     assert fit.n == len(rows) and fit.rmse < fit.spread
 
 
+def test_als_factors_read_the_ratings_once(spark):
+    from pyspark.sql import functions as F
+    seen = spark.sparkContext.accumulator(0)
+
+    def far(u):
+        seen.add(1)
+        return u + 2 ** 40
+
+    rows = [(u, i, float((u * 7 + i * 3) % 5 + 1)) for u in range(20) for i in range(15) if (u + i) % 3]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating double").withColumn(
+        "user_id", F.udf(far, "long").asNondeterministic()("user_id"))
+    users, _ = ml.als_factors(df, max_iter=2)
+    assert users.count() == 20 and seen.value == len(rows)
+
+
+def test_als_blocks_follow_the_ratings(spark):
+    rows = [(u, i, float((u * 7 + i * 3) % 5 + 1)) for u in range(20) for i in range(15)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    least = min(ml.ALS_BLOCKS, spark.sparkContext.defaultParallelism)
+    assert ml.als_blocks(df) == least
+    assert ml.als_blocks(df, 10 * ml.ALS_BLOCK_RATINGS) == 10
+    assert ml.als_model(df, max_iter=2).userFactors.rdd.getNumPartitions() == least
+
+
 def test_dense_ids_follow_the_order(spark):
     ids = [5 * n - 2 ** 45 for n in range(500)]
     d = spark.createDataFrame([(i,) for i in ids + ids[:50] + [None]], "id long").repartition(7)
