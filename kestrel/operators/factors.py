@@ -86,19 +86,6 @@ def _unpacked(blob: bytes, blocks: int):
     return out
 
 
-def _first(codes: np.ndarray, rank: int, seed: int) -> np.ndarray:
-    """Start factors: normal numbers scaled to length 1, by the code alone."""
-    with np.errstate(over="ignore"):
-        z = (codes.astype(np.uint64)[:, None] * np.uint64(2 * rank) + np.arange(2 * rank, dtype=np.uint64)
-             + np.uint64(1) + np.uint64(seed) * np.uint64(0xD1B54A32D192ED03)) * np.uint64(0x9E3779B97F4A7C15)
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        z ^= z >> np.uint64(31)
-    u = ((z >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
-    f = np.sqrt(-2 * np.log(u[:, :rank])) * np.cos(2 * np.pi * u[:, rank:])
-    return (f / np.sqrt((f * f).sum(1, keepdims=True))).astype(np.float32)
-
-
 def _solve(a: np.ndarray) -> np.ndarray:
     """Solutions of the symmetric systems in ``a`` (n, k + 1, k + 1), the last
     column the right side, by Cholesky's method for all of them at a time."""
@@ -155,11 +142,49 @@ def _parted(x, needed, factors):
             yield b, ("factors", x[own].tobytes(), factors[own].tobytes())
 
 
-def _starter(blocks: int, rank: int, seed: int):
+class _Factors:
+    """Factors that have arrived at a block, by their codes (below ``codes``)."""
+
+    def __init__(self, messages: list, codes: int, rank: int):
+        ids = np.concatenate([np.frombuffer(x, np.int32) for x, _ in messages])
+        self.at = np.zeros(codes, np.int32)
+        self.at[ids] = np.arange(len(ids), dtype=np.int32)
+        self.rows = np.concatenate([np.frombuffer(f, np.float32) for _, f in messages]).reshape(-1, rank)
+
+
+def _streamed(rows, blocks: int, codes: int, rank: int):
+    """(factors, chunk) of the chunks of a block, which come after its factors."""
+    messages, factors = [], None
+    for _, (kind, *data) in rows:
+        if kind == "factors":
+            messages.append(data)
+            continue
+        if factors is None:
+            factors = _Factors(messages, codes, rank)
+            messages.clear()
+        yield factors, _unpacked(data[0], blocks)
+
+
+def _starter(blocks: int, rank: int, codes: int):
+    """A block: the start factors of its rows, then its chunks."""
     def run(rows):
-        for _, (_, blob) in rows:
-            x, _, needed, _, _ = _unpacked(blob, blocks)
-            yield from _parted(x, needed, _first(x, rank, seed))
+        for start, (x, _, needed, _, _) in _streamed(rows, blocks, codes, rank):
+            yield from _parted(x, needed, start.rows[start.at[x]])
+    return run
+
+
+def _dealer(blocks: int):
+    """mapInArrow: start factors (id, features), out come those of a block."""
+    def run(batches):
+        for batch in batches:
+            x = batch.column("id").to_numpy()
+            f = batch.column("features").flatten().to_numpy().reshape(len(x), -1)
+            block = _block(x, blocks)
+            for k in np.unique(block).tolist():
+                own = block == k
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k], pa.int32()), pa.array([x[own].tobytes()], pa.binary()),
+                     pa.array([f[own].tobytes()], pa.binary())], names=["block", "x", "f"])
     return run
 
 
@@ -167,21 +192,9 @@ def _stepper(blocks: int, rank: int, reg: float, codes: int, threads: int, final
     """A block: the factors it needs, then its chunks. Out come factors by block
     of the other side, or with ``final`` once. ``codes``: of the other side."""
     def run(rows):
-        ids, parts, at, factors = [], [], None, None
         with ThreadPoolExecutor(threads) as pool:
-            for _, (kind, *data) in rows:
-                if kind == "factors":
-                    ids.append(np.frombuffer(data[0], np.int32))
-                    parts.append(np.frombuffer(data[1], np.float32).reshape(-1, rank))
-                    continue
-                if factors is None:
-                    at = np.zeros(codes, np.int32)
-                    known = np.concatenate(ids)
-                    at[known] = np.arange(len(known), dtype=np.int32)
-                    factors = np.concatenate(parts)
-                    ids, parts = [], []
-                x, size, needed, y, r = _unpacked(data[0], blocks)
-                own = _solved(size, at[y], r, factors, reg, pool)
+            for known, (x, size, needed, y, r) in _streamed(rows, blocks, codes, rank):
+                own = _solved(size, known.at[y], r, known.rows, reg, pool)
                 if final:
                     yield bytearray(x.tobytes()), bytearray(own.tobytes())
                 else:
@@ -212,11 +225,12 @@ def _itself(block: int) -> int:
     return block
 
 
-def fit(ratings: DataFrame, n: int, users: int, items: int, blocks: int, rank: int,
-        max_iter: int, reg: float, seed: int) -> tuple[DataFrame, DataFrame]:
+def fit(ratings: DataFrame, start: DataFrame, n: int, users: int, items: int, blocks: int,
+        rank: int, max_iter: int, reg: float) -> tuple[DataFrame, DataFrame]:
     """(user factors, item factors), each (id int, features array<float>), of
-    ``n`` ratings (user int, item int, r float; none null). ``users``, ``items``:
-    their ids are below that."""
+    ``n`` ratings (user int, item int, r float; none null), from the user factors
+    ``start`` (id int, features array<float>). ``users``, ``items``: their ids are
+    below that."""
     if not n or max_iter < 1:
         raise ValueError("a fit needs ratings and an iteration")
     spark = ratings.sparkSession
@@ -230,7 +244,9 @@ def fit(ratings: DataFrame, n: int, users: int, items: int, blocks: int, rank: i
         both = factors.union(chunks)             # partitioned alike: nothing is shuffled
         return both.mapPartitions(_stepper(blocks, rank, reg, codes, threads, final))
 
-    own = by_user.mapPartitions(_starter(blocks, rank, seed)).partitionBy(blocks, _itself)
+    dealt = start.mapInArrow(_dealer(blocks), "block int, x binary, f binary").rdd.map(
+        lambda s: (s[0], ("factors", bytes(s[1]), bytes(s[2])))).partitionBy(blocks, _itself)
+    own = dealt.union(by_user).mapPartitions(_starter(blocks, rank, users)).partitionBy(blocks, _itself)
     for i in range(1, max_iter + 1):
         of_items = step(own, by_item, users)
         if i == max_iter:

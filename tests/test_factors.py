@@ -15,10 +15,9 @@ def _ratings():
     return rows + [(3, 4, 2.0), (3, 4, 7.0)] + [(30, i, 5.0) for i in range(12) for _ in range(9)]
 
 
-def _plain(rows, rank, max_iter, reg, seed):
+def _plain(rows, of_users, rank, max_iter, reg):
     u, i, r = (np.array(x) for x in zip(*rows))
     r = r.astype(float)
-    of_users = factors._first(np.arange(u.max() + 1), rank, seed)
 
     def step(x, y, known):
         out = np.zeros((x.max() + 1, rank), np.float32)
@@ -41,21 +40,27 @@ def test_fit_equals_plain_least_squares(spark, monkeypatch, blocks):
     df = spark.createDataFrame([(u - 7, i + 2 ** 40, r) for u, i, r in rows],
                                "user_id long, item_id long, rating double")
     monkeypatch.setattr(ml, "dense_ids", None)           # ids without gaps are not numbered anew
+    start = np.zeros((31, 4), np.float32)
+    near = df.withColumn("item_id", F.col("item_id") - 2 ** 40)
+    for r in ml.als_model(near, 4, 0, seed=9, blocks=blocks).userFactors.collect():
+        start[r.id + 7] = r.features
+    want_users, want_items = _plain(rows, start, 4, 5, ml.ALS_REG)
+    model = ml.als_model(near, 4, 5, seed=9, blocks=blocks)
     users, items = ml.als_factors(df, rank=4, max_iter=5, seed=9, blocks=blocks)
-    want_users, want_items = _plain(rows, 4, 5, ml.ALS_REG, 9)
-    got = {r.id: r.features for r in users.collect()}
-    assert sorted(got) == sorted({u - 7 for u, _, _ in rows})
-    assert all(np.allclose(f, want_users[u + 7], rtol=1e-3, atol=1e-3) for u, f in got.items())
-    got = {r.id: r.features for r in items.collect()}
-    assert sorted(got) == [i + 2 ** 40 for i in range(12)]
-    assert all(np.allclose(f, want_items[i - 2 ** 40], rtol=1e-3, atol=1e-3) for i, f in got.items())
+    for got, want, spark_ml, first in ((users, want_users, model.userFactors, -7),
+                                       (items, want_items, model.itemFactors, 2 ** 40)):
+        got = {r.id - first: r.features for r in got.collect()}
+        same = {r.id + 7 * (first < 0): r.features for r in spark_ml.collect()}
+        assert got.keys() == same.keys()
+        assert all(np.allclose(f, want[k], rtol=1e-3, atol=1e-3) for k, f in got.items())
+        assert all(np.allclose(f, same[k], rtol=1e-3, atol=1e-3) for k, f in got.items())
 
 
 def test_chunks_stay_where_they_are(spark):
     df = spark.createDataFrame(_ratings(), "user int, item int, r float")
     by_user = factors._chunks(df, "user", "item", 200, 3)
-    sent = by_user.mapPartitions(factors._starter(3, 4, 1)).partitionBy(3, factors._itself)
-    assert sent.union(factors._chunks(df, "item", "user", 200, 3)).getNumPartitions() == 3
+    by_item = factors._chunks(df, "item", "user", 200, 3)
+    assert by_user.union(by_item).getNumPartitions() == 3
 
 
 def test_rows_of_very_many_ratings_are_added_up_in_pieces(monkeypatch):
